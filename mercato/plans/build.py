@@ -15,6 +15,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from . import aggregates as A
+from . import microbatch as M
+from . import rollups as RU
 from . import staging as S
 from . import warehouse as W
 
@@ -127,3 +129,59 @@ class WarehouseBuild:
     @cached_property
     def agg_reviews_monthly(self) -> DataFrame:
         return A.agg_reviews_monthly(self.fact_order_reviews, self.dim_date)
+
+
+class MicroBatchBuild:
+    """Lazy wiring of the micro-batch formulation over the stream tables.
+
+    ``raw`` must provide ``stream_orders``, ``stream_order_items``,
+    ``stream_order_payments``, ``stream_order_reviews`` and the reference-key
+    tables ``ref_customers``, ``ref_products``, ``ref_sellers``.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame], minutes: int = 5, anchor=None):
+        self.raw = raw
+        self.minutes = minutes
+        self.anchor = anchor
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.raw["stream_orders"]
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return self.raw["stream_order_items"]
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return M.inventory_snapshot(self.items)
+
+    @cached_property
+    def orders_windowed(self) -> DataFrame:
+        return M.assign_windows(self.orders, minutes=self.minutes, anchor=self.anchor)
+
+    @cached_property
+    def batches(self) -> dict[str, DataFrame]:
+        return M.release_batches(self.orders, self.items, self.raw["stream_order_payments"],
+                                 self.raw["stream_order_reviews"], minutes=self.minutes, anchor=self.anchor)
+
+    @cached_property
+    def batch_summary(self) -> DataFrame:
+        return M.batch_summary(self.batches, self.inventory, self.raw["ref_customers"], self.raw["ref_products"],
+                               self.raw["ref_sellers"])
+
+    @cached_property
+    def batch_inventory_details(self) -> DataFrame:
+        return M.batch_inventory_details(self.batches["order_items"], self.inventory)
+
+    @cached_property
+    def daily_summary(self) -> DataFrame:
+        return RU.daily_summary(self.batch_summary, self.batch_inventory_details)
+
+    @cached_property
+    def monthly_summary(self) -> DataFrame:
+        return RU.monthly_summary(self.daily_summary)
+
+    @cached_property
+    def run_summary(self) -> DataFrame:
+        return RU.run_summary(self.batch_summary)
