@@ -54,21 +54,22 @@ def dense_index(df: DataFrame, order: Sequence[str], alias: str = "idx") -> Data
     """Number the rows 1..n in ``order`` (ascending, NULLs first) without a one-partition sort.
 
     A global ``row_number()`` puts every row in one task. Instead: range
-    partition by ``order`` (balanced, sampled boundaries), number the rows
-    inside each partition, count rows per partition (one row per partition),
-    turn the counts into offsets, and add them back with a broadcast join of
-    that per-partition table, whose size is the number of partitions.
-    ``order`` must be unique per row (it is the key being numbered).
+    partition by ``order`` (balanced, sampled boundaries) and sort inside each
+    partition; ``monotonically_increasing_id`` then carries the partition
+    index (upper bits) and the row's position in its partition (lower 33
+    bits). Rows per partition are counted (one row per partition), turned
+    into offsets, and added back with a broadcast join of that table, whose
+    size is the number of partitions. ``order`` must be unique per row.
     """
-    order = list(order)
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
-    local = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid").orderBy(*[F.col(c).asc_nulls_first() for c in order]))
-    )
+    sort = [F.col(c).asc_nulls_first() for c in order]
+    local = (df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+             .withColumn("__mid", F.monotonically_increasing_id())
+             .withColumn("__pid", F.shiftright("__mid", 33))
+             .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("__pid", "__off")
+        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                            F.lit(0))).select("__pid", "__off")
     return (local.join(F.broadcast(offsets), on="__pid")
-            .withColumn(alias, (F.col("__off") + F.col("__local")).cast("bigint"))
-            .drop("__pid", "__local", "__off"))
+            .withColumn(alias, (F.col("__off") + F.col("__pos") + 1).cast("bigint"))
+            .drop("__pid", "__pos", "__mid", "__off"))

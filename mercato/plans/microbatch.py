@@ -45,6 +45,15 @@ def window_anchor(orders: DataFrame, ts: str = "order_purchase_timestamp") -> Co
     return orders.select(F.min(ts)).scalar()
 
 
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a zone-less timestamp, without any time-zone conversion."""
+    c = F.col(c) if isinstance(c, str) else c
+    day = F.unix_date(F.to_date(c)).cast("bigint")
+    return (day * 86_400_000_000 + F.hour(c).cast("bigint") * 3_600_000_000
+            + F.minute(c).cast("bigint") * 60_000_000
+            + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint"))
+
+
 def assign_windows(orders: DataFrame, ts: str = "order_purchase_timestamp", minutes: int = WINDOW_MINUTES,
                    anchor=None) -> DataFrame:
     """Add ``window_index``, ``window_start``, ``window_end`` (half-open, anchored windows).
@@ -54,7 +63,7 @@ def assign_windows(orders: DataFrame, ts: str = "order_purchase_timestamp", minu
     width = minutes * 60 * 1_000_000
     a = window_anchor(orders, ts) if anchor is None else (anchor if isinstance(anchor, Column)
                                                            else F.lit(anchor).cast("timestamp_ntz"))
-    diff = F.timestamp_diff("MICROSECOND", a, F.col(ts))
+    diff = ntz_micros(F.col(ts)) - ntz_micros(a)
     idx = F.floor(diff.cast("decimal(20,0)") / F.lit(width)).cast("bigint")
     out = orders.filter(F.col(ts).isNotNull()).withColumn("window_index", idx)
     return out.withColumns({
@@ -87,15 +96,22 @@ def release_batches(orders: DataFrame, items: DataFrame, payments: DataFrame, re
     A child goes to every batch its order id appears in (an id duplicated
     across windows releases its children twice, as an ``isin`` per batch does).
     """
-    ow = assign_batch_ids(assign_windows(orders, ts, minutes, anchor))
-    orders_b = ow.select(*BATCH, *orders.columns)
-    keys = orders_b.select("order_id", *BATCH).distinct()
+    orders_b = batch_orders(orders, ts, minutes, anchor)
+    return {"orders": orders_b, **release_children(orders_b, {"order_items": items, "order_payments": payments,
+                                                              "order_reviews": reviews})}
 
-    def tag(child: DataFrame) -> DataFrame:
-        return child.join(keys, on="order_id", how="inner").select(*BATCH, *child.columns)
 
-    return {"orders": orders_b, "order_items": tag(items), "order_payments": tag(payments),
-            "order_reviews": tag(reviews)}
+def batch_orders(orders: DataFrame, ts: str = "order_purchase_timestamp", minutes: int = WINDOW_MINUTES,
+                 anchor=None) -> DataFrame:
+    """Orders with their batch id and window bounds in front."""
+    return assign_batch_ids(assign_windows(orders, ts, minutes, anchor)).select(*BATCH, *orders.columns)
+
+
+def release_children(orders_b: DataFrame, children: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each child row tagged with the batch(es) of its order (inner join on the distinct keys)."""
+    keys = orders_b.select("order_id", *BATCH).distinct()
+    return {name: child.join(keys, on="order_id", how="inner").select(*BATCH, *child.columns)
+            for name, child in children.items()}
 
 
 # --------------------------------------------------------------------------- inventory
@@ -140,66 +156,91 @@ def _count_per_batch(df: DataFrame, alias: str) -> DataFrame:
     return df.groupBy("batch_id").agg(F.count("*").cast("bigint").alias(alias))
 
 
+def _flag(keys: DataFrame, cols: Sequence[str], flag: str) -> DataFrame:
+    """Distinct key table with a TRUE marker, for "does the key exist" left joins."""
+    return keys.select(*cols).distinct().withColumn(flag, F.lit(True))
+
+
 def batch_summary(batches: dict[str, DataFrame], inventory: DataFrame, customers: DataFrame,
                   products: DataFrame, sellers: DataFrame) -> DataFrame:
-    """One KPI + validation row per batch (30 columns; ``*_valid`` columns count *invalid* rows)."""
+    """One KPI + validation row per batch (30 columns; ``*_valid`` columns count *invalid* rows).
+
+    Shape of the plan: each input is first reduced to one row per
+    (batch, key) with map-side partial aggregation, existence checks are left
+    joins of those reduced rows against distinct key tables, and every
+    per-batch partial result is stacked (``unionByName``) and reduced by a
+    single ``groupBy(batch_id)``, instead of joining a dozen per-batch frames.
+    """
     o, i = batches["orders"], batches["order_items"]
     o_cols = [c for c in o.columns if c not in BATCH]
     i_cols = [c for c in i.columns if c not in BATCH]
-
-    orders_lvl = o.groupBy(*BATCH).agg(F.count("*").cast("bigint").alias("total_orders"),
-                                       _nulls(o_cols).alias("missing_values_orders"))
-    per_customer = o.groupBy("batch_id", "customer_id").agg(F.count("*").alias("n"))
-    cust = per_customer.groupBy("batch_id").agg(F.count("customer_id").cast("bigint").alias("unique_customers"))
-    cust_bad = (per_customer.join(customers.select("customer_id"), on="customer_id", how="left_anti")
-                .groupBy("batch_id").agg(F.sum("n").cast("bigint").alias("orders_customer_id_valid")))
-    dup_orders = excess_rows_by(o, ["batch_id"], ["order_id"], "duplicate_orders")
-
-    items_lvl = i.groupBy("batch_id").agg(
-        F.count("*").cast("bigint").alias("total_order_items"),
-        _nulls(i_cols).alias("missing_values_order_items"),
+    n = F.col("n")
+
+    # orders: one row per (batch, customer); customer existence by a flag join
+    per_customer = (o.groupBy(*BATCH, "customer_id").agg(F.count("*").alias("n"), _nulls(o_cols).alias("nulls"))
+                    .join(_flag(customers, ["customer_id"], "__hit"), on="customer_id", how="left"))
+    p_orders = per_customer.groupBy("batch_id").agg(
+        F.first("window_start").alias("window_start"), F.first("window_end").alias("window_end"),
+        F.sum(n).cast("bigint").alias("total_orders"),
+        F.count("customer_id").cast("bigint").alias("unique_customers"),
+        F.sum("nulls").cast("bigint").alias("missing_values_orders"),
+        F.sum(F.when(F.col("__hit").isNull(), n).otherwise(0)).cast("bigint").alias("orders_customer_id_valid"),
+    )
+    # orders: one row per (batch, order id) -> duplicates; also the released-order key set
+    per_order_id = o.groupBy("batch_id", "order_id").agg(F.count("*").alias("n"))
+    p_dup_orders = per_order_id.groupBy("batch_id").agg(F.sum(n - 1).cast("bigint").alias("duplicate_orders"))
+
+    # items per (batch, order): AOV and items whose order is not in the batch
+    released = per_order_id.select("batch_id", "order_id").withColumn("__rel", F.lit(True))
+    per_item_order = (i.groupBy("batch_id", "order_id").agg(F.count("*").alias("n"), F.sum("price").alias("s"))
+                      .join(released, on=["batch_id", "order_id"], how="left"))
+    p_orders_items = per_item_order.groupBy("batch_id").agg(
+        F.count("order_id").alias("orders_with_items"),
+        F.sum(F.when(F.col("order_id").isNotNull(), F.coalesce("s", F.lit(0)))).alias("order_price_sum"),
+        F.sum(F.when(F.col("__rel").isNull(), n).otherwise(0)).cast("bigint").alias("order_items_order_id_valid"),
+    )
+    # items per (batch, product, seller): counters, reference checks and stock, on reduced rows
+    per_pair = i.groupBy("batch_id", "product_id", "seller_id").agg(
+        F.count("*").alias("n"), _nulls(i_cols).alias("nulls"),
         F.sum("price").alias("price_sum"), F.sum("freight_value").alias("freight_sum"),
-        F.count_if(F.col("price") < 0).cast("bigint").alias("invalid_price_count"),
-        F.count_if(F.col("freight_value") < 0).cast("bigint").alias("invalid_freight_count"),
+        F.count_if(F.col("price") < 0).alias("neg_price"), F.count_if(F.col("freight_value") < 0).alias("neg_freight"),
     )
-    dup_items = excess_rows_by(i, ["batch_id"], i_cols, "duplicate_order_items")
-
-    per_order = i.groupBy("batch_id", "order_id").agg(F.count("*").alias("n"), F.sum("price").alias("s"))
-    aov = (per_order.filter(F.col("order_id").isNotNull()).groupBy("batch_id")
-           .agg(F.count("*").alias("orders_with_items"), F.sum(F.coalesce("s", F.lit(0))).alias("order_price_sum")))
-    released = o.select("batch_id", "order_id").distinct()
-    item_order_bad = (per_order.join(released, on=["batch_id", "order_id"], how="left_anti")
-                      .groupBy("batch_id").agg(F.sum("n").cast("bigint").alias("order_items_order_id_valid")))
-
-    pairs = i.groupBy("batch_id", "product_id", "seller_id").agg(F.count("*").alias("n"))
-    prod = (pairs.select("batch_id", "product_id").distinct().groupBy("batch_id")
-            .agg(F.count("product_id").cast("bigint").alias("unique_products")))
-    sell = (pairs.select("batch_id", "seller_id").distinct().groupBy("batch_id")
-            .agg(F.count("seller_id").cast("bigint").alias("unique_sellers")))
-    prod_bad = (pairs.join(products.select("product_id"), on="product_id", how="left_anti")
-                .groupBy("batch_id").agg(F.sum("n").cast("bigint").alias("order_items_product_id_valid")))
-    sell_bad = (pairs.join(sellers.select("seller_id"), on="seller_id", how="left_anti")
-                .groupBy("batch_id").agg(F.sum("n").cast("bigint").alias("order_items_seller_id_valid")))
+    per_pair = (_with_stock(per_pair, inventory)
+                .join(_flag(products, ["product_id"], "__prod"), on="product_id", how="left")
+                .join(_flag(sellers, ["seller_id"], "__sell"), on="seller_id", how="left"))
     st = F.col("stock_status")
-    inv = _with_stock(pairs, inventory).groupBy("batch_id").agg(
+    p_items = per_pair.groupBy("batch_id").agg(
+        F.sum(n).cast("bigint").alias("total_order_items"),
+        F.sum("nulls").cast("bigint").alias("missing_values_order_items"),
+        F.sum("price_sum").alias("price_sum"), F.sum("freight_sum").alias("freight_sum"),
+        F.sum("neg_price").cast("bigint").alias("invalid_price_count"),
+        F.sum("neg_freight").cast("bigint").alias("invalid_freight_count"),
+        F.count_distinct("product_id").cast("bigint").alias("unique_products"),
+        F.count_distinct("seller_id").cast("bigint").alias("unique_sellers"),
+        F.sum(F.when(F.col("__prod").isNull(), n).otherwise(0)).cast("bigint").alias("order_items_product_id_valid"),
+        F.sum(F.when(F.col("__sell").isNull(), n).otherwise(0)).cast("bigint").alias("order_items_seller_id_valid"),
         F.bool_and(st.isNotNull()).alias("inventory_match_valid"),
         F.count_if(st == LOW_STOCK).cast("bigint").alias("low_stock_items"),
         F.count_if(st == OUT_OF_STOCK).cast("bigint").alias("out_of_stock_items"),
-        F.sum(F.when(st == LOW_STOCK, F.col("n")).otherwise(0)).cast("bigint").alias("low_stock_order_items"),
-        F.sum(F.when(st == OUT_OF_STOCK, F.col("n")).otherwise(0)).cast("bigint").alias("out_of_stock_order_items"),
+        F.sum(F.when(st == LOW_STOCK, n).otherwise(0)).cast("bigint").alias("low_stock_order_items"),
+        F.sum(F.when(st == OUT_OF_STOCK, n).otherwise(0)).cast("bigint").alias("out_of_stock_order_items"),
     )
-    pays = _count_per_batch(batches["order_payments"], "total_payments")
-    revs = _count_per_batch(batches["order_reviews"], "total_reviews")
+    p_dup_items = excess_rows_by(i, ["batch_id"], i_cols, "duplicate_order_items")
+    p_pays = _count_per_batch(batches["order_payments"], "total_payments")
+    p_revs = _count_per_batch(batches["order_reviews"], "total_reviews")
 
-    parts = [cust, cust_bad, dup_orders, items_lvl, dup_items, aov, item_order_bad, prod, sell, prod_bad, sell_bad,
-             inv, pays, revs]
-    s = reduce(lambda a, b: a.join(b, on="batch_id", how="left"), parts, orders_lvl)
+    parts = [p_orders, p_dup_orders, p_orders_items, p_items, p_dup_items, p_pays, p_revs]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    value_cols = [c for p in parts for c in p.columns if c != "batch_id"]
+    # every part has at most one row per batch, so max() just picks that row's value
+    s = stacked.groupBy("batch_id").agg(*[F.max(c).alias(c) for c in value_cols]).filter(
+        F.col("total_orders").isNotNull())
 
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     sales = money(F.coalesce(F.col("price_sum"), F.lit(0)), 18, 2)
     ship = money(F.coalesce(F.col("freight_sum"), F.lit(0)), 18, 2)
     out = s.select(
-        *BATCH, "total_orders", z("total_order_items").alias("total_order_items"),
+        *BATCH, z("total_orders").alias("total_orders"), z("total_order_items").alias("total_order_items"),
         z("total_payments").alias("total_payments"), z("total_reviews").alias("total_reviews"),
         z("unique_customers").alias("unique_customers"), z("unique_products").alias("unique_products"),
         z("unique_sellers").alias("unique_sellers"),
@@ -207,7 +248,8 @@ def batch_summary(batches: dict[str, DataFrame], inventory: DataFrame, customers
         money(sales + ship, 18, 2).alias("total_paid_amount"),
         F.coalesce(ratio(F.col("order_price_sum"), F.col("orders_with_items"), 2, 18),
                    F.lit(0).cast("decimal(18,2)")).alias("average_order_value"),
-        "missing_values_orders", z("missing_values_order_items").alias("missing_values_order_items"),
+        z("missing_values_orders").alias("missing_values_orders"),
+        z("missing_values_order_items").alias("missing_values_order_items"),
         z("duplicate_orders").alias("duplicate_orders"), z("duplicate_order_items").alias("duplicate_order_items"),
         z("invalid_price_count").alias("invalid_price_count"), z("invalid_freight_count").alias("invalid_freight_count"),
         z("order_items_order_id_valid").alias("order_items_order_id_valid"),
@@ -224,6 +266,6 @@ def batch_summary(batches: dict[str, DataFrame], inventory: DataFrame, customers
         "order_items_order_id_valid", "orders_customer_id_valid", "order_items_product_id_valid",
         "order_items_seller_id_valid")]) & F.col("inventory_match_valid")
     status = F.when(passed, F.lit("Passed")).otherwise(F.lit("Needs Review")).alias("batch_quality_status")
-    cols = [c for c in out.columns]
+    cols = list(out.columns)
     cols.insert(cols.index("inventory_match_valid"), status)
     return out.select(*cols)

@@ -20,6 +20,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .layout import rebalance
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
@@ -118,7 +120,7 @@ class Fixtures:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._base:
-            self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._base[name] = rebalance(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._base[name]
 
     def raw(self, view: str) -> DataFrame:

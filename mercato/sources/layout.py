@@ -1,0 +1,22 @@
+"""Input partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in too few splits over the cluster.
+
+    A single large file that cannot be split (one Parquet row group, a
+    multi-line CSV, a gzip file) is read by one task; everything fused above
+    the scan then runs single-threaded. When the scan has fewer partitions
+    than the cluster's default parallelism, a round-robin repartition (one
+    cheap shuffle of the raw rows) lets the cleaning run on every core.
+    Inputs that already arrive in many splits are left alone. Counting the
+    partitions of a file scan only plans the splits; no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
