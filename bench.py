@@ -37,7 +37,8 @@ def main() -> None:
     fx = Fixtures(spark, sf_dir)
 
     t = time.perf_counter()
-    log = run_pipeline(spark, fx, f"{out}/warehouse", parallel=int(os.environ.get("BENCH_PARALLEL_JOBS", "4")))
+    log = run_pipeline(spark, fx, f"{out}/warehouse", parallel=int(os.environ.get("BENCH_PARALLEL_JOBS", "4")),
+                       land_raw=os.environ.get("BENCH_LAND_RAW", "1") == "1")
     pipeline_s = time.perf_counter() - t
     steps = {k[5:]: v for k, v in log.seconds.items() if k.startswith("wall.")}
 

@@ -70,3 +70,17 @@ def fill_text(c) -> Column:
 def fill_zero(c, cast: str | None = None) -> Column:
     out = F.coalesce(_c(c), F.lit(0))
     return out.cast(cast) if cast else out
+
+
+def batch_label(batch_id, width: int = 4) -> Column:
+    """Zero-padded batch number used in landed file names (``7`` -> ``0007``)."""
+    return F.lpad(_c(batch_id).cast("string"), width, "0")
+
+
+def batch_id_from_path(path_col=None, prefix: str = "_batch_") -> Column:
+    """Batch number parsed from a file name such as ``orders_batch_0007.csv`` (NULL if absent).
+
+    Defaults to the name of the file each row was read from.
+    """
+    src = F.input_file_name() if path_col is None else _c(path_col)
+    return F.nullif(F.regexp_extract(src, prefix + r"(\d+)", 1), F.lit("")).cast("int")

@@ -67,11 +67,14 @@ class StageLog:
 
 
 def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, *,
-                 build_kw: dict | None = None, gate: bool = True, parallel: int = 4) -> StageLog:
+                 build_kw: dict | None = None, gate: bool = True, parallel: int = 4,
+                 land_raw: bool = True) -> StageLog:
     """Run every stage, writing to ``root/<layer>/<table>``; returns timings and row counts.
 
     ``parallel``: how many independent table writes of one layer run as
     concurrent Spark jobs (1 = strictly one after the other).
+    ``land_raw``: write the raw text tables first (step 1 of the run) and
+    clean from that copy; with False the cleaners read the sources directly.
     """
     log = StageLog()
     root = root.rstrip("/")
@@ -83,7 +86,7 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, *
         return {n: spark.read.parquet(f"{root}/{layer}/{n}") for n in names}
 
     # 1. load: raw text tables as delivered, written once (the cleaners read these)
-    loaded = stage(RAW_TABLES, "raw", lambda n: raw[n], step="load")
+    loaded = stage(RAW_TABLES, "raw", lambda n: raw[n], step="load") if land_raw else raw
     src = WarehouseBuild(loaded, **(build_kw or {}))
     # 2. staging: cleaned, typed, deduplicated
     staged = stage(STAGING, "staging", lambda n: getattr(src, n), step="staging")

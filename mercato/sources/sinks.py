@@ -84,3 +84,28 @@ def to_json_rows(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         cols.append(c.cast("string").alias(f.name) if name in ("date", "timestamp", "timestamp_ntz") else c)
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
+
+
+def save_table(df: DataFrame, name: str, table: str | None = None, mode: str = "overwrite",
+               partition_by: Sequence[str] | None = None) -> None:
+    """Catalog table variant of ``write_table``: ``CREATE DATABASE IF NOT EXISTS`` for the
+    qualifier, then ``saveAsTable`` by name; overwrite replaces data and schema (drop-and-create)."""
+    if "." in name:
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    if table is not None and table in SCHEMAS:
+        df = conform(df, table)
+    w = df.write.mode(mode).option("overwriteSchema", "true")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+
+
+def write_jdbc(df: DataFrame, url: str, dbtable: str, properties: dict | None = None, mode: str = "overwrite",
+               batchsize: int = 5000, truncate: bool = True) -> None:
+    """Relational-database sink: multi-row batched inserts (``batchsize``); with ``truncate``
+    an overwrite keeps the target table and its definition (truncate-and-insert)."""
+    w = (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", dbtable)
+         .option("batchsize", batchsize).option("truncate", str(truncate).lower()))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()

@@ -12,8 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = get_session("local[*]", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    wh = tmp_path_factory.mktemp("spark-warehouse")
+    s = get_session("local[*]", shuffle_partitions=8, extra={"spark.sql.warehouse.dir": str(wh)})
     yield s
 
 

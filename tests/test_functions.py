@@ -81,3 +81,10 @@ def test_exact_rounding(spark):
     assert z.select(ratio(F.col("n"), F.col("d")).alias("r")).collect()[0]["r"] is None
     p = spark.createDataFrame([(1, 3)], "a bigint, b bigint")
     assert p.select(percentage(F.col("a"), F.col("b")).alias("p")).collect()[0]["p"] == Decimal("33.33")
+
+
+def test_batch_labels(spark):
+    from mercato.functions import batch_id_from_path, batch_label
+    df = spark.createDataFrame([(7, "landing/orders_batch_0007.csv"), (12, "x/other.csv")], "b int, p string")
+    got = df.select(batch_label("b").alias("l"), batch_id_from_path("p").alias("i")).collect()
+    assert [(r["l"], r["i"]) for r in got] == [("0007", 7), ("0012", None)]

@@ -63,3 +63,11 @@ def test_counted_write_and_exports(spark, tmp_path):
     assert isinstance(j[0]["d"], str) and len(j) == 7
     export_csv(df, str(tmp_path / "csv"), single_file=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 7
+
+
+def test_save_table_creates_database(spark):
+    from mercato.sources.sinks import save_table
+    save_table(spark.range(3), "mercato_test_db.t3")
+    assert spark.table("mercato_test_db.t3").count() == 3
+    save_table(spark.range(5).selectExpr("id", "id AS x"), "mercato_test_db.t3")  # drop-and-create semantics
+    assert spark.table("mercato_test_db.t3").columns == ["id", "x"]
