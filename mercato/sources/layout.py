@@ -16,7 +16,9 @@ def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Inputs that already arrive in many splits are left alone. Counting the
     partitions of a file scan only plans the splits; no job runs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if current < target else df

@@ -40,7 +40,11 @@ LAND_ORDER = CHILDREN + ("orders",)
 
 
 def land_batches(batches: Mapping[str, DataFrame], landing: str) -> None:
-    """Producer: append released batches to ``landing/<table>/batch_id=<n>/``; orders last."""
+    """Producer: append released batches to ``landing/<table>/batch_id=<n>/``; orders last.
+
+    ``batches`` should be written tables (e.g. ``run_microbatch``'s ``batches/*``):
+    each of the four writes would otherwise recompute the window assignment.
+    """
     for name in LAND_ORDER:
         batches[name].write.mode("append").partitionBy("batch_id").parquet(f"{landing.rstrip('/')}/{name}")
 
@@ -60,7 +64,8 @@ def start_batch_consumer(spark: SparkSession, landing: str, sink: str, checkpoin
     """Start the landed-files consumer; KPIs go to ``sink/batch_summary`` and ``sink/batch_inventory_details``.
 
     ``schemas``: the four landed tables' schemas (each including ``batch_id``,
-    ``window_start``, ``window_end``).
+    ``window_start``, ``window_end``). ``inventory`` and the reference-key
+    tables are static inputs: pass written tables, since every trigger reads them.
     """
     landing, sink = landing.rstrip("/"), sink.rstrip("/")
     reader = spark.readStream.schema(schemas["orders"])

@@ -10,33 +10,45 @@ from mercato.streaming.microbatch_stream import (
 )
 
 
-def _consumer(spark, fx, mb, d, **kw):
+def _static(spark, df, path):
+    """Static stream inputs are tables, not plans recomputed on every trigger."""
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _consumer(spark, refs, mb, d, **kw):
     schemas = landed_schemas(mb.batches)
-    return start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", f"{d}/ckpt", schemas, mb.inventory,
-                                fx["ref_customers"], fx["ref_products"], fx["ref_sellers"], **kw)
+    return start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", f"{d}/ckpt", schemas, refs["inventory"],
+                                refs["customers"], refs["products"], refs["sellers"], **kw)
 
 
 def test_stream_equals_batch_with_restart_and_replay(spark, fx, tmp_path):
     d = str(tmp_path)
     mb = MicroBatchBuild(fx)
-    b = mb.batches
+    b = {k: _static(spark, v, f"{d}/released/{k}") for k, v in mb.batches.items()}  # the producer's output
+    mb.__dict__["batches"] = b
+    refs = {"inventory": _static(spark, mb.inventory, f"{d}/static/inventory"),
+            "customers": _static(spark, fx["ref_customers"], f"{d}/static/customers"),
+            "products": _static(spark, fx["ref_products"], f"{d}/static/products"),
+            "sellers": _static(spark, fx["ref_sellers"], f"{d}/static/sellers")}
     land_batches({k: v.filter("batch_id <= 30") for k, v in b.items()}, f"{d}/landing")
-    _consumer(spark, fx, mb, d, max_files_per_trigger=15).awaitTermination()
+    n_files = len(list((tmp_path / "landing" / "orders").rglob("*.parquet")))
+    _consumer(spark, refs, mb, d, max_files_per_trigger=max(1, n_files // 2 + 1)).awaitTermination()
     first = spark.read.parquet(f"{d}/sink/batch_summary")
     assert first.count() == 30
     # restart on the same checkpoint: nothing new, nothing reprocessed
-    q = _consumer(spark, fx, mb, d)
+    q = _consumer(spark, refs, mb, d)
     q.awaitTermination()
     assert all(p["numInputRows"] == 0 for p in q.recentProgress)
     # more batches land; then a fresh checkpoint replays everything: partitions overwritten, not duplicated
-    land_batches({k: v.filter("batch_id > 30") for k, v in b.items()}, f"{d}/landing")
-    _consumer(spark, fx, mb, d).awaitTermination()
+    land_batches({k: v.filter("batch_id > 30 AND batch_id <= 60") for k, v in b.items()}, f"{d}/landing")
+    _consumer(spark, refs, mb, d).awaitTermination()
     d2 = str(tmp_path / "replay")
-    start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", d2, landed_schemas(b), mb.inventory,
-                         fx["ref_customers"], fx["ref_products"], fx["ref_sellers"]).awaitTermination()
+    start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", d2, landed_schemas(b), refs["inventory"],
+                         refs["customers"], refs["products"], refs["sellers"]).awaitTermination()
     streamed = spark.read.parquet(f"{d}/sink/batch_summary")
-    batch = mb.batch_summary
-    assert streamed.count() == batch.count()
+    batch = mb.batch_summary.filter("batch_id <= 60")  # KPIs of a batch depend on that batch's rows only
+    assert streamed.count() == batch.count() == 60
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
 
 
