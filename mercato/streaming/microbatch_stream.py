@@ -138,3 +138,20 @@ def landed_schemas(batches: Mapping[str, DataFrame]) -> dict[str, T.StructType]:
         assert all(c in df.columns for c in BATCH)
         out[name] = df.schema
     return out
+
+
+def enrich_items_stream(items: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Stream-static left join: every streamed item row with its (product, seller) stock.
+
+    NULL keys match NULL keys, as in the batch form; the static side is re-read
+    per trigger, so it should be a written table.
+    """
+    inv = inventory.select(F.col("product_id").alias("__p"), F.col("seller_id").alias("__s"),
+                           "stock_qty", "reorder_level", "stock_status")
+    cond = F.col("product_id").eqNullSafe(F.col("__p")) & F.col("seller_id").eqNullSafe(F.col("__s"))
+    return items.join(inv, cond, "left").drop("__p", "__s")
+
+
+def orphan_rows_stream(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Stream-static anti join: streamed rows whose key has no parent; NULL keys are orphans."""
+    return child.join(parent.select(F.col(key).alias("__k")), F.col(key) == F.col("__k"), "left_anti")

@@ -89,3 +89,24 @@ def test_static_window_kpis_equal_batch_counts(spark, fx):
     k = window_kpis(orders, anchor_us).select("window_start", "orders")
     b = M.window_counts(M.assign_windows(orders)).select("window_start", "orders")
     assert k.exceptAll(b).count() == 0 and b.exceptAll(k).count() == 0
+
+
+def test_stream_static_enrichment_and_orphans(spark, fx, tmp_path):
+    from mercato.streaming.microbatch_stream import enrich_items_stream, orphan_rows_stream
+    items, orders = fx["stream_order_items"], fx["stream_orders"]
+    inv = _static(spark, M.inventory_snapshot(items), str(tmp_path / "inv"))
+    refs = _static(spark, fx["ref_customers"], str(tmp_path / "cust"))
+    items.write.parquet(str(tmp_path / "items"))
+    orders.write.parquet(str(tmp_path / "orders"))
+    s_items = spark.readStream.schema(items.schema).parquet(str(tmp_path / "items"))
+    s_orders = spark.readStream.schema(orders.schema).parquet(str(tmp_path / "orders"))
+    q1 = enrich_items_stream(s_items, inv).writeStream.format("memory").queryName("enriched_t").start()
+    q2 = orphan_rows_stream(s_orders, refs, "customer_id").writeStream.format("memory").queryName("orphans_t").start()
+    for q in (q1, q2):
+        q.processAllAvailable()
+        q.stop()
+    enriched = spark.table("enriched_t")
+    expected = M.items_with_inventory(items, inv)
+    assert enriched.exceptAll(expected).count() == 0 and expected.exceptAll(enriched).count() == 0
+    from mercato.operators.relational import orphans
+    assert spark.table("orphans_t").count() == orphans(orders, refs, "customer_id").count()
