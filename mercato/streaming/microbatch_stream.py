@@ -14,7 +14,8 @@ Two consumers are provided:
     them with a per-batch partition overwrite, so replaying a micro-batch
     after a failure rewrites the same partitions (no duplicate KPI rows).
     Progress lives in the checkpoint; ``maxFilesPerTrigger`` bounds the work
-    per trigger; processed order files can be archived by the source.
+    per trigger; processed order files can be archived by the source (Spark
+    moves a micro-batch's files once the following micro-batch commits).
 
 ``start_window_kpis``
     Event-time stream over raw orders: 5-minute tumbling windows aligned to

@@ -110,3 +110,25 @@ def test_stream_static_enrichment_and_orphans(spark, fx, tmp_path):
     assert enriched.exceptAll(expected).count() == 0 and expected.exceptAll(enriched).count() == 0
     from mercato.operators.relational import orphans
     assert spark.table("orphans_t").count() == orphans(orders, refs, "customer_id").count()
+
+
+def test_consumed_files_are_archived(spark, fx, tmp_path):
+    d = str(tmp_path)
+    mb = MicroBatchBuild(fx)
+    b = {k: _static(spark, v.filter("batch_id <= 10"), f"{d}/released/{k}") for k, v in mb.batches.items()}
+    inv = _static(spark, mb.inventory, f"{d}/inv")
+
+    def consume():
+        start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", f"{d}/ckpt", landed_schemas(b), inv,
+                             fx["ref_customers"], fx["ref_products"], fx["ref_sellers"],
+                             archive_dir=f"{d}/processed").awaitTermination()
+
+    land_batches({k: v.filter("batch_id <= 5") for k, v in b.items()}, f"{d}/landing")
+    first = {p.name for p in (tmp_path / "landing" / "orders").rglob("*.parquet")}
+    consume()
+    land_batches({k: v.filter("batch_id > 5") for k, v in b.items()}, f"{d}/landing")
+    consume()  # committing this run's batch archives the files of the batch before it
+    archived = {p.name for p in (tmp_path / "processed").rglob("*.parquet")}
+    left = {p.name for p in (tmp_path / "landing" / "orders").rglob("*.parquet")}
+    assert first and first <= archived and not (first & left)
+    assert spark.read.parquet(f"{d}/sink/batch_summary").count() == 10
