@@ -23,12 +23,14 @@ from ..sources.sinks import write_counted
 from . import aggregates as A
 from .build import WarehouseBuild
 
-RAW_TABLES = ["customers_raw", "sellers_raw", "orders_raw", "products_raw", "order_items_raw", "order_payments_raw",
-              "order_reviews_raw", "geolocation_raw", "product_category_name_translation_raw"]
-STAGING = ["translation", "customers", "sellers", "orders", "products", "order_items", "payments",
-           "reviews_typed", "geolocation"]
+# Within a layer the tables are listed largest first: concurrent jobs are submitted in this
+# order, so the long writes start immediately and the small ones fill the gaps.
+RAW_TABLES = ["order_items_raw", "order_reviews_raw", "orders_raw", "order_payments_raw", "customers_raw",
+              "geolocation_raw", "products_raw", "sellers_raw", "product_category_name_translation_raw"]
+STAGING = ["order_items", "reviews_typed", "orders", "payments", "customers", "products", "geolocation",
+           "sellers", "translation"]
 DIMENSIONS = ["dim_customers", "dim_sellers", "dim_products", "dim_date"]
-FACTS = ["fact_order_items", "fact_order_payments", "fact_order_reviews"]
+FACTS = ["fact_order_items", "fact_order_reviews", "fact_order_payments"]
 SUMMARIES = ["agg_sales_daily", "agg_sales_monthly", "agg_inventory", "agg_payment_methods", "agg_reviews_monthly"]
 # Output files are sorted inside by the date key: tight Parquet min/max stats for date filters.
 SORT_WITHIN = {f: ["order_purchase_date_key"] for f in FACTS}
@@ -94,7 +96,7 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, *
     w = WarehouseBuild(loaded, **(build_kw or {}))
     w.__dict__.update(staged)
     # 4. dimensions and facts (both read only staging)
-    written = stage(DIMENSIONS + FACTS, "dw", lambda n: getattr(w, n), SORT_WITHIN, step="dimensions_facts")
+    written = stage(FACTS + DIMENSIONS, "dw", lambda n: getattr(w, n), SORT_WITHIN, step="dimensions_facts")
     w.__dict__.update(written)
     # 5. quality gate before any summary is replaced
     if gate:
