@@ -73,6 +73,18 @@ _q("dim_date_calendar", "SELECT * FROM dim_date_calendar")(lambda b: W.dim_date_
 _q("fact_order_items", "SELECT * FROM fact_order_items")(lambda b: b.fact_order_items)
 _q("fact_order_payments", "SELECT * FROM fact_order_payments")(lambda b: b.fact_order_payments)
 _q("fact_order_reviews", "SELECT * FROM fact_order_reviews")(lambda b: b.fact_order_reviews)
+_q("fact_order_reviews_before_join",
+   "SELECT r.review_id, r.order_id, CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS order_purchase_date_key, "
+   "r.review_score, COALESCE(r.review_comment_title, '') AS review_comment_title, "
+   "COALESCE(r.review_comment_message, '') AS review_comment_message, r.review_creation_date, r.review_answer_timestamp "
+   "FROM clean_reviews r JOIN clean_orders o ON r.order_id = o.order_id")(
+    lambda b: W.fact_order_reviews(b.reviews_typed, b.orders, dedup="before_join"))
+_q("fact_order_payments_keep_zero",
+   "SELECT p.order_id, p.payment_sequential, CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) "
+   "AS order_purchase_date_key, CASE WHEN lower(p.payment_type) = 'not_defined' THEN 'other' ELSE p.payment_type END "
+   "AS payment_type, p.payment_installments, CAST(p.payment_value AS DECIMAL(10,2)) AS payment_value "
+   "FROM clean_payments p JOIN clean_orders o ON p.order_id = o.order_id")(
+    lambda b: W.fact_order_payments(b.payments, b.orders, min_value=None))
 
 # ------------------------------------------------------------------ summaries
 _q("agg_sales_daily", "SELECT * FROM agg_sales_daily")(lambda b: b.agg_sales_daily)
@@ -112,6 +124,13 @@ _q("payments_breakdown",
    f"{_oracle.hu('SUM(avg_installments * 100)', 'COUNT(avg_installments)')} AS avg_installments, "
    f"{_oracle.hu('SUM(avg_payment_value * 100)', 'COUNT(avg_payment_value)')} AS avg_payment_value "
    "FROM agg_payment_methods GROUP BY 1")(lambda b: R.payments_breakdown(b.agg_payment_methods))
+_q("payments_breakdown_weighted",
+   "SELECT CASE WHEN payment_type = 'not_defined' THEN 'unknown' ELSE payment_type END AS payment_type, "
+   "CAST(SUM(total_transactions) AS BIGINT) AS total_transactions, CAST(SUM(total_orders) AS BIGINT) AS total_orders, "
+   "CAST(SUM(total_revenue) AS DECIMAL(22,2)) AS total_revenue, "
+   f"{_oracle.hu('SUM(avg_installments * 100 * total_transactions)', 'SUM(total_transactions)')} AS avg_installments, "
+   f"{_oracle.hu('SUM(avg_payment_value * 100 * total_transactions)', 'SUM(total_transactions)')} AS avg_payment_value "
+   "FROM agg_payment_methods GROUP BY 1")(lambda b: R.payments_breakdown(b.agg_payment_methods, weighted=True))
 _q("installment_distribution",
    "SELECT payment_installments, COUNT(*) AS total_transactions, CAST(SUM(payment_value) AS DECIMAL(12,2)) AS total_revenue, "
    f"{_oracle.hu(_oracle.cents('SUM(payment_value)'), 'COUNT(payment_value)')} AS avg_value "
