@@ -85,3 +85,11 @@ def test_oracle_agrees_at_smallest_scale(spark, name):
         return Counter(tuple(repr(r[i]) for i in order) for r in data)
 
     assert bag(df.columns, df.collect()) == bag(dcols, res.fetchall())
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from mercato.__main__ import main
+    assert main(["run", "--fixtures", SF_SMALL, "--out", str(tmp_path / "wh"), "--parallel", "2"]) == 0
+    out = capsys.readouterr().out
+    assert '"dw.agg_sales_daily"' in out
+    assert spark.read.parquet(str(tmp_path / "wh" / "dw" / "agg_sales_monthly")).count() > 0
