@@ -39,3 +39,6 @@ def mean(c, scale: int = 2, precision: int = 12, integral: bool = False) -> Colu
 def percentage(part: Column, whole: Column, scale: int = 2, precision: int = 5) -> Column:
     """``ROUND(part * 100.0 / whole, scale)`` with exact decimals."""
     return ratio(part.cast("decimal(20,0)") * F.lit(100), whole.cast("decimal(20,0)"), scale, precision)
+
+
+safe_ratio = ratio  # B21: NULL when the denominator is 0

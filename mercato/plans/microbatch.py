@@ -79,6 +79,9 @@ def assign_batch_ids(orders_w: DataFrame) -> DataFrame:
     return orders_w.join(ids, on="window_index", how="inner")
 
 
+five_minute_windows = assign_windows
+
+
 def window_counts(orders_w: DataFrame) -> DataFrame:
     return orders_w.groupBy("window_start", "window_end").agg(F.count("*").alias("orders"))
 
@@ -156,6 +159,18 @@ def _count_per_batch(df: DataFrame, alias: str) -> DataFrame:
     return df.groupBy("batch_id").agg(F.count("*").cast("bigint").alias(alias))
 
 
+# Validation counters that must all be zero for a batch to pass (missing-value counts are reported only).
+STATUS_COUNTERS = ("duplicate_orders", "duplicate_order_items", "invalid_price_count", "invalid_freight_count",
+                   "order_items_order_id_valid", "orders_customer_id_valid", "order_items_product_id_valid",
+                   "order_items_seller_id_valid")
+
+
+def batch_status() -> Column:
+    """``Passed`` when every validation counter is zero and all items matched inventory."""
+    passed = reduce(lambda a, b: a & b, [F.col(c) == 0 for c in STATUS_COUNTERS]) & F.col("inventory_match_valid")
+    return F.when(passed, F.lit("Passed")).otherwise(F.lit("Needs Review"))
+
+
 def _flag(keys: DataFrame, cols: Sequence[str], flag: str) -> DataFrame:
     """Distinct key table with a TRUE marker, for "does the key exist" left joins."""
     return keys.select(*cols).distinct().withColumn(flag, F.lit(True))
@@ -261,11 +276,7 @@ def batch_summary(batches: dict[str, DataFrame], inventory: DataFrame, customers
         z("low_stock_order_items").alias("low_stock_order_items"),
         z("out_of_stock_order_items").alias("out_of_stock_order_items"),
     )
-    passed = reduce(lambda a, b: a & b, [F.col(c) == 0 for c in (
-        "duplicate_orders", "duplicate_order_items", "invalid_price_count", "invalid_freight_count",
-        "order_items_order_id_valid", "orders_customer_id_valid", "order_items_product_id_valid",
-        "order_items_seller_id_valid")]) & F.col("inventory_match_valid")
-    status = F.when(passed, F.lit("Passed")).otherwise(F.lit("Needs Review")).alias("batch_quality_status")
+    status = batch_status().alias("batch_quality_status")
     cols = list(out.columns)
     cols.insert(cols.index("inventory_match_valid"), status)
     return out.select(*cols)

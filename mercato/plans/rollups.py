@@ -43,6 +43,17 @@ def daily_summary(batch_summary: DataFrame, details: DataFrame | None = None) ->
     return out.select(*d.columns, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in INVENTORY_KPIS])
 
 
+def complete_months(monthly: DataFrame, col: str = "month_date") -> DataFrame:
+    """Every month between the first and the last present, left-joined to ``monthly``.
+
+    The spine is generated from one (min, max) row, so its size is the number
+    of months spanned, not the data size.
+    """
+    spine = monthly.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).select(
+        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(col))
+    return spine.join(monthly, on=col, how="left")
+
+
 def monthly_summary(daily: DataFrame) -> DataFrame:
     """Per calendar month, every month between the first and last present (gaps zero-filled).
 
@@ -55,9 +66,7 @@ def monthly_summary(daily: DataFrame) -> DataFrame:
         F.sum("daily_total_paid").alias("monthly_total_paid"),
         F.count_distinct("date").alias("processed_days"),
     )
-    spine = m.agg(F.min("month_date").alias("lo"), F.max("month_date").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month_date"))
-    out = spine.join(m, on="month_date", how="left")
+    out = complete_months(m)
     money_cols = ["monthly_sales_revenue", "monthly_shipping_revenue", "monthly_total_paid"]
     return out.select(
         "month_date",

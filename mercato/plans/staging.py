@@ -25,23 +25,40 @@ from ..operators.dedup import keep_first, latest_per_key
 from ..operators.relational import lookup_left, with_seed_rows
 
 
-def _require_raw(df: DataFrame, cols) -> DataFrame:
-    """``IS NOT NULL`` on raw text: blank strings pass (they turn into NULL later)."""
+def require_raw(df: DataFrame, cols) -> DataFrame:
+    """``IS NOT NULL`` on raw text (B2): blank strings pass (they turn into NULL later)."""
     cond = None
     for c in cols:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
     return df.filter(cond)
 
 
-def _require_clean(df: DataFrame, cols) -> DataFrame:
-    """``IS NOT NULL`` after cleaning: blank strings fail."""
+def require_clean(df: DataFrame, cols) -> DataFrame:
+    """``IS NOT NULL`` after cleaning (B3): blank strings fail."""
     return df.dropna(how="any", subset=list(cols))
 
 
+def fix_negative(df: DataFrame, *cols: str) -> DataFrame:
+    """``SET c = ABS(c) WHERE c < 0`` for each column."""
+    return df.withColumns({c: F.abs(c) for c in cols})
+
+
+def add_total_amount(df: DataFrame) -> DataFrame:
+    """``total_amount = price + freight_value`` as DECIMAL(15,2)."""
+    return df.withColumn("total_amount", F.round((F.col("price") + F.col("freight_value")).cast("decimal(15,2)"), 2))
+
+
+def translate_category(products: DataFrame, translation: DataFrame, fallback: str | None = "unknown") -> DataFrame:
+    """English category by a left lookup on a translation unique by category."""
+    return lookup_left(products, translation, "product_category_name", "product_category_name_english", fallback)
+
+
+
+
 # --------------------------------------------------------------------------- text path
 
 def clean_translation(raw: DataFrame) -> DataFrame:
-    df = _require_raw(raw, ["product_category_name", "product_category_name_english"])
+    df = require_raw(raw, ["product_category_name", "product_category_name_english"])
     df = df.select(clean_text("product_category_name").alias("product_category_name"),
                    clean_text("product_category_name_english").alias("product_category_name_english"))
     return keep_first(df, ["product_category_name"])
@@ -49,13 +66,13 @@ def clean_translation(raw: DataFrame) -> DataFrame:
 
 def clean_customers(raw: DataFrame) -> DataFrame:
     cols = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
-    df = _require_raw(raw, ["customer_id"]).select(*[clean_text(c).alias(c) for c in cols])
+    df = require_raw(raw, ["customer_id"]).select(*[clean_text(c).alias(c) for c in cols])
     return keep_first(df, ["customer_id"])
 
 
 def clean_sellers(raw: DataFrame) -> DataFrame:
     cols = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
-    df = _require_raw(raw, ["seller_id"]).select(*[clean_text(c).alias(c) for c in cols])
+    df = require_raw(raw, ["seller_id"]).select(*[clean_text(c).alias(c) for c in cols])
     return keep_first(df, ["seller_id"])
 
 
@@ -74,7 +91,7 @@ def typed_orders(raw: DataFrame) -> DataFrame:
 
 def clean_orders(raw: DataFrame) -> DataFrame:
     """Drop orders missing id, customer, status or purchase time; keep the latest purchase per id."""
-    df = _require_clean(typed_orders(raw), ["order_id", "customer_id", "order_status", "order_purchase_timestamp"])
+    df = require_clean(typed_orders(raw), ["order_id", "customer_id", "order_status", "order_purchase_timestamp"])
     return latest_per_key(df, ["order_id"], ["order_purchase_timestamp"])
 
 
@@ -90,7 +107,7 @@ def clean_products(raw: DataFrame, translation: DataFrame, fallback: str = "unkn
         *[to_int(c).alias(c) for c in PRODUCT_INT],
         *[to_decimal(c, 15, 4).alias(c) for c in PRODUCT_DEC],
     )
-    df = lookup_left(df, translation, "product_category_name", "product_category_name_english", fallback)
+    df = translate_category(df, translation, fallback)
     df = df.filter(F.col("product_id").isNotNull())
     df = df.select("product_id", "product_category_name", *PRODUCT_INT, *PRODUCT_DEC, "product_category_name_english")
     return keep_first(df, ["product_id"])
@@ -111,15 +128,14 @@ def typed_order_items(raw: DataFrame) -> DataFrame:
 
 def clean_order_items(raw: DataFrame) -> DataFrame:
     """ABS on money, drop incomplete rows, ``total_amount = price + freight``, one row per (order, item)."""
-    df = typed_order_items(raw).withColumns({"price": F.abs("price"), "freight_value": F.abs("freight_value")})
-    df = _require_clean(df, ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+    df = fix_negative(typed_order_items(raw), "price", "freight_value")
+    df = require_clean(df, ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
                              "price", "freight_value"])
-    df = df.withColumn("total_amount", F.round((F.col("price") + F.col("freight_value")).cast("decimal(15,2)"), 2))
-    return keep_first(df, ["order_id", "order_item_id"])
+    return keep_first(add_total_amount(df), ["order_id", "order_item_id"])
 
 
 def clean_payments(raw: DataFrame, not_defined_as: str = "unknown") -> DataFrame:
-    df = _require_raw(raw, ["order_id", "payment_sequential", "payment_installments", "payment_value"])
+    df = require_raw(raw, ["order_id", "payment_sequential", "payment_installments", "payment_value"])
     df = df.select(
         clean_text("order_id").alias("order_id"),
         to_int("payment_sequential").alias("payment_sequential"),
@@ -132,7 +148,7 @@ def clean_payments(raw: DataFrame, not_defined_as: str = "unknown") -> DataFrame
 
 def typed_reviews(raw: DataFrame) -> DataFrame:
     """Reviews typed and filtered on the raw required columns, *not yet* deduplicated."""
-    df = _require_raw(raw, ["review_id", "order_id", "review_score", "review_creation_date"])
+    df = require_raw(raw, ["review_id", "order_id", "review_score", "review_creation_date"])
     return df.select(
         clean_text("review_id").alias("review_id"),
         clean_text("order_id").alias("order_id"),
@@ -151,7 +167,7 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
 def clean_geolocation(raw: DataFrame) -> DataFrame:
     cols = ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"]
-    df = _require_raw(raw, cols).select(
+    df = require_raw(raw, cols).select(
         clean_text("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"),
         to_decimal("geolocation_lat", 10, 7).alias("geolocation_lat"),
         to_decimal("geolocation_lng", 10, 7).alias("geolocation_lng"),
@@ -201,7 +217,7 @@ def clean_products_pg(raw: DataFrame, translation_raw: DataFrame) -> DataFrame:
         *[blank_to_null(c).try_cast("int").alias(c.replace("lenght", "length")) for c in PRODUCT_INT],
         *[blank_to_null(c).try_cast("decimal(15,4)").alias(c) for c in PRODUCT_DEC],
     )
-    df = lookup_left(df, category_lookup(translation_raw), "product_category_name", "product_category_name_english")
+    df = translate_category(df, category_lookup(translation_raw), fallback=None)
     return df.withColumns({
         "product_category_name_english": F.coalesce("product_category_name_english", F.lit("Uncategorized")),
         "product_category_name": F.coalesce("product_category_name", F.lit("uncategorized")),
