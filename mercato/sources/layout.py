@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
-def rebalance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in too few splits over the cluster.
 
-    A single large file that cannot be split (one Parquet row group, a
-    multi-line CSV, a gzip file) is read by one task; everything fused above
-    the scan then runs single-threaded. When the scan has fewer partitions
-    than the cluster's default parallelism, a round-robin repartition (one
-    cheap shuffle of the raw rows) lets the cleaning run on every core.
-    Inputs that already arrive in many splits are left alone. Counting the
-    partitions of a file scan only plans the splits; no job runs.
+def _bytes(value: str) -> int:
+    v = value.strip().lower().rstrip("b") or "0"
+    return int(float(v[:-1]) * _UNITS[v[-1]]) if v[-1] in _UNITS else int(v)
+
+
+def rebalance(df: DataFrame, min_partitions: int | None = None, split_bytes: int | None = None) -> DataFrame:
+    """Spread an input whose splits are too large over the cluster.
+
+    A large file that cannot be split (a multi-line or compressed CSV, a
+    Parquet file with one huge row group) is read by one task, and everything
+    fused above the scan then runs single-threaded. When the scan has fewer
+    partitions than the cluster's default parallelism *and* its average split
+    is larger than ``split_bytes`` (default: the session's AQE advisory
+    partition size, 64 MB), one round-robin repartition spreads the rows.
+    Small inputs and inputs already arriving in many splits are left alone:
+    there the extra shuffle costs more than it saves. Only the plan's size
+    estimate and split count are consulted; no job runs.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        spark = df.sparkSession
+        target = min_partitions or spark.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        limit = split_bytes or _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(target) if current < target else df
+    if current < target and size / max(current, 1) > limit:
+        return df.repartition(min(target, max(2, -(-size // limit))))
+    return df

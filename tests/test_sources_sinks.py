@@ -71,3 +71,14 @@ def test_save_table_creates_database(spark):
     assert spark.table("mercato_test_db.t3").count() == 3
     save_table(spark.range(5).selectExpr("id", "id AS x"), "mercato_test_db.t3")  # drop-and-create semantics
     assert spark.table("mercato_test_db.t3").columns == ["id", "x"]
+
+
+def test_rebalance_only_large_splits(spark, tmp_path):
+    from mercato.sources.layout import _bytes, rebalance
+    assert _bytes("64MB") == 64 << 20 and _bytes("1g") == 1 << 30 and _bytes("1024") == 1024
+    p = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(p)
+    df = spark.read.parquet(p)
+    assert rebalance(df) is df  # small single split: left alone
+    big = rebalance(df, min_partitions=4, split_bytes=16)  # pretend splits above 16 bytes are large
+    assert big.rdd.getNumPartitions() == 4 and big.count() == 1000
