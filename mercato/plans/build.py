@@ -142,12 +142,17 @@ class MicroBatchBuild:
     def __init__(self, raw: Mapping[str, DataFrame], minutes: int = 5, anchor=None):
         self.raw = raw
         self.minutes = minutes
-        self.anchor = anchor
+        self._anchor = anchor
 
     @cached_property
     def orders(self) -> DataFrame:
         return self.raw["stream_orders"]
 
+    @cached_property
+    def anchor(self):
+        """Window anchor: given, or the first purchase time (computed once)."""
+        return self._anchor if self._anchor is not None else M.first_purchase(self.orders)
+
     @cached_property
     def items(self) -> DataFrame:
         return self.raw["stream_order_items"]

@@ -45,6 +45,12 @@ def window_anchor(orders: DataFrame, ts: str = "order_purchase_timestamp") -> Co
     return orders.select(F.min(ts)).scalar()
 
 
+def first_purchase(orders: DataFrame, ts: str = "order_purchase_timestamp"):
+    """First purchase time as a Python value: one aggregated scalar, computed once per run so the
+    window plans carry a literal instead of re-evaluating a subquery at every use."""
+    return orders.agg(F.min(ts)).first()[0]
+
+
 def ntz_micros(c) -> Column:
     """Microseconds since 1970-01-01 of a zone-less timestamp, without any time-zone conversion."""
     c = F.col(c) if isinstance(c, str) else c
@@ -61,8 +67,13 @@ def assign_windows(orders: DataFrame, ts: str = "order_purchase_timestamp", minu
     ``anchor`` defaults to the first purchase time; rows without a time get no window.
     """
     width = minutes * 60 * 1_000_000
-    a = window_anchor(orders, ts) if anchor is None else (anchor if isinstance(anchor, Column)
-                                                           else F.lit(anchor).cast("timestamp_ntz"))
+    if anchor is None:
+        a = window_anchor(orders, ts)
+    elif isinstance(anchor, Column):
+        a = anchor
+    else:  # a Python datetime or ISO text; via text so no time zone is applied to the zone-less value
+        text = anchor.isoformat(sep=" ") if hasattr(anchor, "isoformat") else str(anchor)
+        a = F.lit(text).cast("timestamp_ntz")
     diff = ntz_micros(F.col(ts)) - ntz_micros(a)
     idx = F.floor(diff.cast("decimal(20,0)") / F.lit(width)).cast("bigint")
     out = orders.filter(F.col(ts).isNotNull()).withColumn("window_index", idx)

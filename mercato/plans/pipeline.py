@@ -128,31 +128,37 @@ MICROBATCH_RELEASE = ["orders", "order_items", "order_payments", "order_reviews"
 
 
 def run_microbatch(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, minutes: int = 5,
-                   anchor=None) -> StageLog:
+                   anchor=None, parallel: int = 4) -> StageLog:
     """Micro-batch formulation end to end: inventory, released batches, KPIs, roll-ups.
 
     The released batches are written once (the hand-over the producer makes
     through the landing folder) and every KPI reads them, so the window
     assignment and numbering run once instead of once per consumer.
+    Independent tables of a step are written as concurrent jobs.
     """
     from .build import MicroBatchBuild
+    from .microbatch import batch_orders, release_children
 
     log = StageLog()
     root = root.rstrip("/")
     mb = MicroBatchBuild(raw, minutes, anchor)
 
-    def put(name: str, df: DataFrame, **kw) -> DataFrame:
-        log.run(name, lambda: write_counted(df, f"{root}/{name}", **kw))
-        return spark.read.parquet(f"{root}/{name}")
-
-    from .microbatch import batch_orders, release_children
+    def put(frames: Mapping[str, Callable[[], DataFrame]], step: str, **kw) -> dict[str, DataFrame]:
+        log.run_all({name: (lambda name=name: write_counted(frames[name](), f"{root}/{name}", **kw))
+                     for name in frames}, parallel, step)
+        return {name: spark.read.parquet(f"{root}/{name}") for name in frames}
 
-    mb.__dict__["inventory"] = put("inventory", mb.inventory)
-    orders_b = put("batches/orders", batch_orders(mb.orders, minutes=minutes, anchor=anchor))
+    first = put({"inventory": lambda: mb.inventory,
+                 "batches/orders": lambda: batch_orders(mb.orders, minutes=minutes, anchor=mb.anchor)}, "release")
+    mb.__dict__["inventory"] = first["inventory"]
+    orders_b = first["batches/orders"]
     children = release_children(orders_b, {"order_items": mb.items, "order_payments": raw["stream_order_payments"],
                                             "order_reviews": raw["stream_order_reviews"]})
-    mb.__dict__["batches"] = {"orders": orders_b,
-                              **{k: put(f"batches/{k}", v, sort_within=["batch_id"]) for k, v in children.items()}}
-    for name in ["batch_summary", "batch_inventory_details", "daily_summary", "monthly_summary", "run_summary"]:
-        mb.__dict__[name] = put(name, getattr(mb, name))
+    kids = put({f"batches/{k}": (lambda v=v: v) for k, v in children.items()}, "release", sort_within=["batch_id"])
+    mb.__dict__["batches"] = {"orders": orders_b, **{k.split("/")[1]: v for k, v in kids.items()}}
+    kpis = put({"batch_summary": lambda: mb.batch_summary,
+                "batch_inventory_details": lambda: mb.batch_inventory_details}, "kpis")
+    mb.__dict__.update(kpis)
+    mb.__dict__["daily_summary"] = put({"daily_summary": lambda: mb.daily_summary}, "rollups")["daily_summary"]
+    put({"monthly_summary": lambda: mb.monthly_summary, "run_summary": lambda: mb.run_summary}, "rollups")
     return log
