@@ -158,3 +158,24 @@ def enrich_items_stream(items: DataFrame, inventory: DataFrame) -> DataFrame:
 def orphan_rows_stream(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Stream-static anti join: streamed rows whose key has no parent; NULL keys are orphans."""
     return child.join(parent.select(F.col(key).alias("__k")), F.col(key) == F.col("__k"), "left_anti")
+
+
+def release_items_stream(orders: DataFrame, items: DataFrame, anchor_micros: int, minutes: int = 5,
+                         watermark: str = "10 minutes", max_delay: str = "10 minutes",
+                         order_ts: str = "order_purchase_timestamp", item_ts: str = "item_ts") -> DataFrame:
+    """Stream-stream release (I3): each item joined to its order, tagged with the order's window.
+
+    Both sides carry event time and a watermark, and the join condition bounds
+    the item's time to ``[order time, order time + max_delay]``, so Spark can
+    drop join state once the watermark passes that bound (no unbounded state).
+    """
+    width = f"{minutes} minutes"
+    o = (orders.withColumn("__ots", F.col(order_ts).cast("timestamp")).withWatermark("__ots", watermark)
+         .withColumn("__w", F.window("__ots", width, width, window_start_offset(anchor_micros, minutes)))
+         .select(F.col("order_id").alias("__oid"), "__ots",
+                 F.col("__w.start").cast("timestamp_ntz").alias("window_start"),
+                 F.col("__w.end").cast("timestamp_ntz").alias("window_end")))
+    i = items.withColumn("__its", F.col(item_ts).cast("timestamp")).withWatermark("__its", watermark)
+    cond = ((F.col("order_id") == F.col("__oid")) & (F.col("__its") >= F.col("__ots"))
+            & (F.col("__its") <= F.col("__ots") + F.expr(f"INTERVAL {max_delay}")))
+    return i.join(o, cond, "inner").select("window_start", "window_end", *items.columns)

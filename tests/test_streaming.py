@@ -132,3 +132,28 @@ def test_consumed_files_are_archived(spark, fx, tmp_path):
     left = {p.name for p in (tmp_path / "landing" / "orders").rglob("*.parquet")}
     assert first and first <= archived and not (first & left)
     assert spark.read.parquet(f"{d}/sink/batch_summary").count() == 10
+
+
+def test_stream_stream_release_matches_batch(spark, fx, tmp_path):
+    from mercato.streaming.microbatch_stream import release_items_stream
+    orders = fx["stream_orders"]
+    events = fx.table("events").select(F.col("event_id").alias("order_id"), F.col("ts").alias("item_ts"))
+    items = fx["stream_order_items"].join(events, "order_id")  # items carry their event time
+    anchor = orders.agg(F.min("order_purchase_timestamp")).collect()[0][0]
+    anchor_us = int((anchor - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    for name, df in (("o", orders), ("i", items)):
+        ordered = df.withColumn("__q", F.ntile(3).over(Window.orderBy(df.columns[-1] if name == "i"
+                                                                     else "order_purchase_timestamp")))
+        for q_ in range(1, 4):
+            ordered.filter(F.col("__q") == q_).drop("__q").coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    so = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "o"))
+    si = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "i"))
+    q = (release_items_stream(so, si, anchor_us).writeStream.format("memory").queryName("released_t")
+         .outputMode("append").start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("released_t").select("window_start", "order_id", "price")
+    expected = M.release_batches(orders, fx["stream_order_items"], fx["stream_order_payments"],
+                                 fx["stream_order_reviews"])["order_items"].select("window_start", "order_id", "price")
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).count() == 0
