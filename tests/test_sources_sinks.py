@@ -82,3 +82,17 @@ def test_rebalance_only_large_splits(spark, tmp_path):
     assert rebalance(df) is df  # small single split: left alone
     big = rebalance(df, min_partitions=4, split_bytes=16)  # pretend splits above 16 bytes are large
     assert big.rdd.getNumPartitions() == 4 and big.count() == 1000
+
+
+def test_read_typed_keeps_values_untrimmed(spark, tmp_path):
+    from mercato.sources.readers import read_typed
+    p = tmp_path / "order_payments.csv"
+    p.write_text("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+                 'o1,1," credit_card ",,10.5\n')
+    r = read_typed(spark, str(p), "order_payments").collect()[0]
+    assert r["payment_type"] == " credit_card " and r["payment_installments"] is None and r["payment_value"] == "10.5"
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from mercato.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
