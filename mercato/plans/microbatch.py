@@ -11,13 +11,13 @@ appends a KPI row. Here every window is computed at once:
 * ``release``: children travel with their order's window (semi-join);
 * ``batch_summary``: the 30 KPI / validation columns per batch.
 
-Distinct counts are never computed with several ``COUNT(DISTINCT)`` in one
-aggregate (Catalyst would ``Expand`` every row once per distinct column).
-Each distinct count is its own map-side-combined grouping on (batch, key),
-and item-level counters come from one pre-aggregated row per
-(batch, product, seller), so the inventory lookup joins that reduced table,
-not every item row. A batch holding a third of the data is reduced inside
-each task before any shuffle.
+Raw rows never go through an aggregate with several ``COUNT(DISTINCT)``
+(Catalyst would ``Expand`` every row once per distinct column). Items are
+first reduced to one row per (batch, order) and per (batch, product,
+seller); the inventory lookup and the reference checks join those reduced
+rows, and the two distinct counts (products, sellers) run on the reduced
+pair rows. A batch holding a third of the data is reduced inside each task
+before any shuffle.
 """
 
 from __future__ import annotations
