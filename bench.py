@@ -28,8 +28,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     out = tempfile.mkdtemp(prefix="mercato-bench-", dir=os.environ.get("BENCH_OUT", "/tmp"))
     t0 = time.perf_counter()
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG") == "1":  # stage/task times, written to this run's scratch folder
+        os.makedirs(f"{out}/eventlog", exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{out}/eventlog"})
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     # JVM warm-up (class loading, first code generation) is not part of the run
     spark.read.parquet(f"{sf_dir}/region.parquet").count()
     spark.sql("SELECT 1").collect()
@@ -85,6 +88,7 @@ def main() -> None:
         "microbatch_seconds": round(microbatch_s, 3),
         "session_start_seconds": round(session_s, 3),
         "cpus": cpus,
+        "out": out,
     }
     print(json.dumps(result))
 
