@@ -12,6 +12,11 @@ def _bytes(value: str) -> int:
     return int(float(v[:-1]) * _UNITS[v[-1]]) if v[-1] in _UNITS else int(v)
 
 
+# Compressed columnar files decode to several times their size on disk; the plan's size
+# estimate is the on-disk size, the advisory partition size is an in-memory target.
+DECODED_EXPANSION = 8
+
+
 def rebalance(df: DataFrame, min_partitions: int | None = None, split_bytes: int | None = None) -> DataFrame:
     """Spread an input whose splits are too large over the cluster.
 
@@ -20,7 +25,9 @@ def rebalance(df: DataFrame, min_partitions: int | None = None, split_bytes: int
     fused above the scan then runs single-threaded. When the scan has fewer
     partitions than the cluster's default parallelism *and* its average split
     is larger than ``split_bytes`` (default: the session's AQE advisory
-    partition size, 64 MB), one round-robin repartition spreads the rows.
+    partition size, 64 MB, divided by ``DECODED_EXPANSION`` because the
+    estimate counts compressed bytes), one round-robin repartition spreads
+    the rows.
     Small inputs and inputs already arriving in many splits are left alone:
     there the extra shuffle costs more than it saves. Only the plan's size
     estimate and split count are consulted; no job runs.
@@ -30,7 +37,8 @@ def rebalance(df: DataFrame, min_partitions: int | None = None, split_bytes: int
         target = min_partitions or spark.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        limit = split_bytes or _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+        limit = split_bytes or (_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+                                // DECODED_EXPANSION)
     except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (e.g. Spark Connect): leave as is
         return df
     if current < target and size / max(current, 1) > limit:
