@@ -231,6 +231,12 @@ def _mb(b: WarehouseBuild) -> MicroBatchBuild:
     return MicroBatchBuild(b.raw)
 
 
+def _stream_kpis(orders: DataFrame) -> DataFrame:
+    """The watermarked window KPIs of the stream consumer, run over the whole static table."""
+    from mercato.streaming.microbatch_stream import anchor_micros_of, window_kpis
+    return window_kpis(orders, anchor_micros_of(orders))
+
+
 _q("window_counts", "SELECT window_start, window_end, COUNT(*) AS orders FROM mb_orders_w GROUP BY 1, 2")(
     lambda b: M.window_counts(_mb(b).orders_windowed))
 _q("batch_ids", "SELECT DISTINCT batch_id, window_start, window_end FROM mb_orders")(
@@ -239,6 +245,10 @@ _q("window_slice", "SELECT o.* FROM stream_orders o, mb_anchor m "
                    "WHERE o.order_purchase_timestamp >= m.a AND o.order_purchase_timestamp < m.a + INTERVAL 7 DAY")(
     lambda b: M.slice_window(_mb(b).orders, M.window_anchor(_mb(b).orders),
                              M.window_anchor(_mb(b).orders) + F.expr("INTERVAL 7 DAYS")))
+_q("stream_window_kpis",
+   "SELECT window_start, window_end, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS unique_customers "
+   "FROM mb_orders_w GROUP BY 1, 2")(
+    lambda b: _stream_kpis(b.raw["stream_orders"]))
 _q("related_rows", "SELECT * FROM mb_items")(lambda b: _mb(b).batches["order_items"])
 _q("inventory_snapshot", "SELECT * FROM inventory_snapshot")(lambda b: M.inventory_snapshot(b.order_items))
 _q("items_with_inventory",

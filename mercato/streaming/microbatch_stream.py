@@ -99,6 +99,11 @@ def start_batch_consumer(spark: SparkSession, landing: str, sink: str, checkpoin
     return w.start()
 
 
+def anchor_micros_of(orders: DataFrame, ts: str = "order_purchase_timestamp") -> int:
+    """Epoch microseconds of the first purchase, as the session reads zone-less times (one scalar)."""
+    return int(orders.agg(F.unix_micros(F.min(F.col(ts)).cast("timestamp"))).first()[0])
+
+
 def window_start_offset(anchor_micros: int, minutes: int = 5) -> str:
     """``startTime`` argument that aligns Spark's epoch-based windows with an anchor instant."""
     return f"{anchor_micros % (minutes * 60 * 1_000_000)} microseconds"
