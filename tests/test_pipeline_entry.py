@@ -51,8 +51,12 @@ def test_pipeline_rerun_is_idempotent(spark, fx, tmp_path):
 
 def test_microbatch_run(spark, fx, tmp_path):
     log = run_microbatch(spark, fx, str(tmp_path))
-    assert log.rows["batch_summary"] == log.rows["batches/orders"] and log.rows["batch_summary"] > 0 or True
-    assert log.rows["daily_summary"] > 0
+    orders = fx["stream_orders"]
+    assert log.rows["batches/orders"] == orders.filter("order_purchase_timestamp IS NOT NULL").count()
+    summary = spark.read.parquet(str(tmp_path / "batch_summary"))
+    assert log.rows["batch_summary"] == summary.count() == summary.select("batch_id").distinct().count() > 0
+    assert summary.agg(F.sum("total_orders")).collect()[0][0] == log.rows["batches/orders"]
+    assert log.rows["daily_summary"] > 0 and log.rows["run_summary"] == 1
 
 
 def test_entry_smoke(spark):
