@@ -45,7 +45,8 @@ def fix_negative(df: DataFrame, *cols: str) -> DataFrame:
 
 def add_total_amount(df: DataFrame) -> DataFrame:
     """``total_amount = price + freight_value`` as DECIMAL(15,2)."""
-    return df.withColumn("total_amount", F.round((F.col("price") + F.col("freight_value")).cast("decimal(15,2)"), 2))
+    total = F.round((F.col("price") + F.col("freight_value")).cast("decimal(15,2)"), 2)
+    return df.withColumn("total_amount", total.cast("decimal(15,2)"))  # round() widens the precision by one
 
 
 def translate_category(products: DataFrame, translation: DataFrame, fallback: str | None = "unknown") -> DataFrame:
