@@ -96,3 +96,11 @@ def test_read_typed_keeps_values_untrimmed(spark, tmp_path):
 def test_checkpoint_dir_comes_from_the_session(spark):
     from mercato.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_partitioned_refresh_replaces_only_present_partitions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    refresh(spark.range(9).selectExpr("id", "id % 3 AS g"), path, partition_by=["g"], sort_within=["id"])
+    refresh(spark.createDataFrame([(100, 1)], "id bigint, g bigint"), path, partition_by=["g"])
+    got = sorted((r["g"], r["id"]) for r in spark.read.parquet(path).collect())
+    assert got == [(0, 0), (0, 3), (0, 6), (1, 100), (2, 2), (2, 5), (2, 8)]
