@@ -8,6 +8,7 @@ first-N listings).
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -276,9 +277,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return _build(spark, SMOKE_DIR).agg_sales_daily
 
 
+# The training-data operators and their pipeline are optional: without them everything above still works.
+_HAS_LLM = importlib.util.find_spec("mercato.llm") is not None and importlib.util.find_spec("mercato.llm.queries") is not None
+_HAS_PIPELINE = _HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
+
+
 def queries() -> dict[str, Query]:
-    return {name: (lambda fn: (lambda spark, sf_dir: fn(_build(spark, sf_dir))))(fn) for name, fn in _QUERIES.items()}
+    found = {name: (lambda fn: (lambda spark, sf_dir: fn(_build(spark, sf_dir))))(fn) for name, fn in _QUERIES.items()}
+    if _HAS_LLM:
+        from mercato.llm.queries import QUERIES
+        found |= QUERIES
+    if _HAS_PIPELINE:
+        import corpus_pipeline
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle.oracle_sql()
+    found = _oracle.oracle_sql()
+    if _HAS_LLM:
+        from mercato.llm.queries import ORACLE_SQL
+        found |= ORACLE_SQL
+    if _HAS_PIPELINE:
+        import corpus_pipeline
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
