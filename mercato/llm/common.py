@@ -146,3 +146,18 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | first[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | first[1:])) + 1
     return starts, ends, np.searchsorted(starts, off)
+
+
+# ------------------------------------------------------------------ Arrow maps over documents
+def with_arrow_columns(docs: DataFrame, make, fields: str) -> DataFrame:
+    """``docs`` plus the columns that ``make(record batch) -> [arrays]`` gives; clashing input columns are replaced."""
+    from pyspark.sql import types as T
+    new = T.StructType.fromDDL(fields)
+    docs = docs.drop(*new.names)
+    schema = T.StructType(docs.schema.fields + new.fields)
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], names=names)
+    return docs.mapInArrow(run, schema)

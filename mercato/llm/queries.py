@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mercato.llm.common import crc_mod
 
 
 
@@ -12,6 +15,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.language_id import detect, fit
+    docs = _table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = fit(docs.where(~held_out))
+    found = detect(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_rules import fit, rules
     docs = _table(spark, sf_dir, "documents")
@@ -21,6 +33,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_mixtures": op1_language_mixtures,
     "op10_quality_rules": op10_quality_rules,
 }
 
