@@ -161,3 +161,21 @@ def with_arrow_columns(docs: DataFrame, make, fields: str) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], names=names)
     return docs.mapInArrow(run, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, balance: bool = False) -> DataFrame:
+    """(doc_id, text, label) of at most ``most`` labelled documents, those with the smallest id hashes.
+
+    Rows without id or label are left out; an id labelled twice takes the larger
+    label. ``balance``: half of the sample for each label, as far as there are
+    so many. The ids are broadcast: ``most`` bounds them.
+    """
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id")
+             .agg(F.max(F.col(label).cast("int")).alias("_label")))
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    if balance:
+        ids = (known.where("_label = 1").orderBy(*order).limit(most // 2)
+               .unionByName(known.where("_label = 0").orderBy(*order).limit(most // 2)))
+    else:
+        ids = known.orderBy(*order).limit(most)
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")

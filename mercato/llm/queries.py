@@ -24,6 +24,14 @@ def op1_language_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.quality_classifier import fit, score
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = fit(docs, labels.where(~held_out))
+    return score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_rules import fit, rules
     docs = _table(spark, sf_dir, "documents")
@@ -34,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
+    "op7_naive_bayes_margin": op7_naive_bayes_margin,
     "op10_quality_rules": op10_quality_rules,
 }
 
