@@ -24,6 +24,14 @@ def op1_language_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from mercato.llm.packing import pack
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_classifier import fit, score
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -42,6 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
+    "op3_bounded_space_packing": op3_bounded_space_packing,
     "op7_naive_bayes_margin": op7_naive_bayes_margin,
     "op10_quality_rules": op10_quality_rules,
 }
