@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import crc_mod
+from mercato.llm.common import crc_mod, word_count, written
 
 
 
@@ -32,6 +32,17 @@ def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.mixing import mix
+    docs = _table(spark, sf_dir, "documents")
+    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    mixed, sources = mix(sized)
+    taken = mixed.groupBy("doc_id").agg(F.sum("size").alias("taken"))
+    each = sized.join(F.broadcast(sources.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source")))
+    return (each.join(taken, "doc_id", "left")
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
 def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_classifier import fit, score
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -51,6 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
     "op3_bounded_space_packing": op3_bounded_space_packing,
+    "op5_source_mix": op5_source_mix,
     "op7_naive_bayes_margin": op7_naive_bayes_margin,
     "op10_quality_rules": op10_quality_rules,
 }
