@@ -179,3 +179,38 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, b
     else:
         ids = known.orderBy(*order).limit(most)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+
+
+# ------------------------------------------------------------------ connected components
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """(node, component) of the nodes of ``edges`` (a, b); a component is named by its smallest node.
+
+    Large-star and small-star rounds over a written edge table: minima are
+    aggregated before the shuffle, and a hub's edges are joined, not grouped.
+    """
+    both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+    def star(e: DataFrame, large: bool) -> DataFrame:
+        view = both(e) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        least = view.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        joined = view.join(least, "a")
+        if large:
+            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            out = out.unionByName(least.where("m < a").select("a", F.col("m").alias("b")))
+        else:
+            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        return out.where("a <> b").distinct()
+
+    def mark(e: DataFrame):
+        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    before = mark(e)
+    for _ in range(rounds):
+        e = written(star(star(e, True), False), "edges")
+        now = mark(e)
+        if now == before:
+            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        before = now
+    raise RuntimeError("components did not settle")

@@ -51,6 +51,11 @@ def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.jaccard_join import jaccard_components
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_rules import fit, rules
     docs = _table(spark, sf_dir, "documents")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bounded_space_packing": op3_bounded_space_packing,
     "op5_source_mix": op5_source_mix,
     "op7_naive_bayes_margin": op7_naive_bayes_margin,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
