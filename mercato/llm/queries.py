@@ -32,6 +32,12 @@ def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.suffix_dedup import remove_repeats
+    left = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.mixing import mix
     docs = _table(spark, sf_dir, "documents")
@@ -67,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
     "op3_bounded_space_packing": op3_bounded_space_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_source_mix": op5_source_mix,
     "op7_naive_bayes_margin": op7_naive_bayes_margin,
     "op9_jaccard_join": op9_jaccard_join,
