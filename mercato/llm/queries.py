@@ -24,6 +24,14 @@ def op1_language_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.toxicity import fit, score
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    net = fit(docs, labels.where(~held_out))
+    return score(docs.select("doc_id", "text"), net).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,6 +80,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
+    "op2_recurrent_toxicity": op2_recurrent_toxicity,
     "op3_bounded_space_packing": op3_bounded_space_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_source_mix": op5_source_mix,
