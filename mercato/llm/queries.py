@@ -57,6 +57,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.license_scan import scan
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.quality_classifier import fit, score
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -65,6 +70,12 @@ def op7_naive_bayes_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.hamming_search import top_k
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.jaccard_join import jaccard_components
     return jaccard_components(_table(spark, sf_dir, "documents"))
@@ -84,10 +95,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bounded_space_packing": op3_bounded_space_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_source_mix": op5_source_mix,
+    "op6_license_scan": op6_license_scan,
     "op7_naive_bayes_margin": op7_naive_bayes_margin,
+    "op8_hamming_top_k": op8_hamming_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
+def _license_sql() -> str:
+    """Every text against every notice, by exact word shingles."""
+    from mercato.llm.license_scan import LOWER, NOTICES, UPPER, template_words
+    notices = ", ".join("('{}', [{}])".format(k, ", ".join("'" + w.replace("'", "''") + "'" for w in template_words(v))) for k, v in NOTICES.items())
+    lists = "list_transform(range(1, CAST(greatest(len(w) - size + 2, 1) AS BIGINT)), i -> array_to_string(w[i:i + size - 1], ' '))"
+    return f"""
+WITH notices(license, w) AS (VALUES {notices}),
+wanted AS (SELECT license, size, unnest(list_distinct({lists})) AS s FROM (SELECT license, w, least(5, len(w)) AS size FROM notices)),
+held AS (SELECT doc_id, size, unnest(list_distinct({lists})) AS s
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+       (SELECT DISTINCT size FROM wanted)),
+shared AS (SELECT doc_id, license, COUNT(DISTINCT s) AS n_shared FROM held JOIN wanted USING (size, s) GROUP BY 1, 2),
+number AS (SELECT license, COUNT(*) AS t FROM wanted GROUP BY 1)
+SELECT doc_id, license, n_shared, CAST(n_shared AS DOUBLE) / t AS containment
+FROM shared JOIN number USING (license) WHERE 100 * n_shared >= 75 * t"""
+
+
 #: DuckDB SQL where SQL expresses the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_license_scan": _license_sql(),
+    "op8_hamming_top_k": """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id,
+         CAST(list_sum(list_transform(range(1, 65), i -> CASE WHEN (coalesce(q.embedding[i], 0) > 0) <> (coalesce(r.embedding[i], 0) > 0) THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+  FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id
+  WHERE q.vec_id % 100 = 0 AND q.embedding IS NOT NULL AND r.embedding IS NOT NULL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
+FROM pairs QUALIFY rank <= 10""",
+}
