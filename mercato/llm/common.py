@@ -187,18 +187,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star rounds over a written edge table: minima are
     aggregated before the shuffle, and a hub's edges are joined, not grouped.
+    An edge always points from its larger node ``a`` to its smaller ``b``.
     """
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
     def star(e: DataFrame, large: bool) -> DataFrame:
-        view = both(e) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        view = both(e) if large else e
         least = view.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        joined = view.join(least, "a")
-        if large:
-            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            out = out.unionByName(least.where("m < a").select("a", F.col("m").alias("b")))
-        else:
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        # a node's larger neighbours (large star) or its smaller ones (small star) go to the least
+        moved = (e.select(F.col("b").alias("a"), F.col("a").alias("b")) if large else e).join(least, "a")
+        out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
     def mark(e: DataFrame):

@@ -115,7 +115,7 @@ def _signatures(batches):
 
 
 def _near(percent: int):
-    """Sorted (key, n, rep, bits) -> pairs of neighbours and of each with its key's first, if the bound allows them."""
+    """Sorted (key, n, rep, bits) -> each with its key's first (v of 1 or more) or else its neighbour, if the bound allows it."""
     def run(batches):
         first = last = None
         for batch in batches:
@@ -124,12 +124,13 @@ def _near(percent: int):
                 if last is None or last[0] != key:
                     first = last = (key, n, rep, bits)
                     continue
-                for other in {first[2]: first, last[2]: last}.values():
+                for place, other in ((1.0, first), (0.0, last)):
                     least = need(other[1], n, percent)
                     if other[2] != rep and other[1] >= least:
                         most = overlap_bound(other[3], bits, other[1], n)
                         if most >= least:
-                            found.append((other[2], rep, most / (other[1] + n)))
+                            found.append((other[2], rep, place + most / (2 * (other[1] + n))))
+                            break
                 last = (key, n, rep, bits)
             a, b, v = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(v, pa.float64())], names=["a", "b", "v"])
