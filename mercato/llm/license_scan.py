@@ -75,14 +75,14 @@ def _width(n: int) -> int:
     return max(w for w in (1, 4, 16) if w == 1 or w + w // 2 - 1 <= n)
 
 
-def _minima(own: Column, width: int, step: int, band: int) -> Column:
-    """Least hash under the band's permutation, of each window of ``width`` shingles begun every ``step``."""
-    if width == 1:
-        return own
-    hashed = F.transform(own, lambda x: F.xxhash64(x, F.lit(band)))
-    return F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(own) - width, F.lit(0)), F.lit(step)),
-        lambda k: F.array_min(F.slice(hashed, k + 1, F.lit(width))))
+def _permuted(own: Column, band: int) -> Column:
+    return F.transform(own, lambda x: F.xxhash64(x, F.lit(band)))
+
+
+def _minima(hashed: Column, width: int, step: int) -> Column:
+    """Least hash of each window of ``width`` shingles begun every ``step``; ``hashed`` must be a plain column."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(hashed) - width, F.lit(0)), F.lit(step)),
+                       lambda k: F.array_min(F.slice(hashed, k + 1, F.lit(width))))
 
 
 def _looked_up(keys: Column, table: Column) -> Column:
@@ -99,31 +99,40 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, percent: int =
         return spark.createDataFrame([], f"doc_id {kind}, license string, n_shared long, containment double")
     table = spark.createDataFrame([(k, w, min(5, len(w))) for k, w in words.items()], "license string, _w array<string>, size int")
     sizes = sorted({min(5, len(w)) for w in words.values()})
-    known = None
-    for size in sizes:
-        part = table.where(F.col("size") == size).select("license", "size", F.array_distinct(shingles(F.col("_w"), size)).alias("wanted"),
-                                                         shingles(F.col("_w"), size).alias("_h"))
-        known = part if known is None else known.unionByName(part)
-    rows = known.collect()  # the stated templates
+    known = table.withColumn("_h", F.coalesce(*[F.when(F.col("size") == s, shingles(F.col("_w"), s)) for s in sizes]))
+    known = known.select("license", "size", "_h")
+
+    # windows by (shingle size, window size, band): the templates' least hashes, and the texts' that equal one
+    groups: dict[tuple[int, int], list[str]] = {}
+    for k, w in words.items():
+        groups.setdefault((min(5, len(w)), _width(max(1, len(w) - 4))), []).append(k)
+    cells = [(size, width, band) for size, width in sorted(groups) for band in range(bands if width > 1 else 1)]
+    keyed = None
+    for number, (size, width, band) in enumerate(cells):
+        own = known.where(F.col("license").isin(groups[size, width]))
+        if width > 1:
+            own = own.withColumn("_h", _permuted(F.col("_h"), band)).withColumn("_h", _minima(F.col("_h"), width, 1))
+        own = own.select(F.lit(number).alias("cell"), F.explode("_h").alias("key"), "license")
+        keyed = own if keyed is None else keyed.unionByName(own)
+    by_key: dict[int, dict[int, list[str]]] = {}
+    for r in keyed.distinct().orderBy("cell", "key", "license").collect():  # of the stated templates
+        by_key.setdefault(r["cell"], {}).setdefault(r["key"], []).append(r["license"])
 
     text = docs.select("doc_id", F.transform(words_column(F.col("text")), lambda w: F.translate(w, UPPER, LOWER)).alias("_w"))
     text = text.select("doc_id", *[shingles(F.col("_w"), size).alias(f"_h{size}") for size in sizes])
-    groups: dict[tuple[int, int], list] = {}
-    for r in rows:
-        groups.setdefault((r["size"], _width(len(r["_h"]))), []).append(r)
+    text = text.select("*", *[_permuted(F.col(f"_h{size}"), band).alias(f"_p{n}")
+                              for n, (size, width, band) in enumerate(cells) if width > 1])
     met = []
-    for (size, width), members in sorted(groups.items()):
-        for band in range(bands if width > 1 else 1):
-            keyed = spark.createDataFrame([(r["license"], r["_h"]) for r in members], "license string, _h array<bigint>")
-            keyed = keyed.select("license", F.explode(_minima(F.col("_h"), width, 1, band)).alias("key")).distinct().collect()
-            keys = F.array(*[F.lit(k) for k in sorted({r["key"] for r in keyed})])
-            found = F.array_intersect(_minima(F.col(f"_h{size}"), width, max(1, width // 2), band), keys)
-            licenses = F.map_from_entries(F.array(*[
-                F.struct(F.lit(k), F.array(*[F.lit(r["license"]) for r in keyed if r["key"] == k])) for k in sorted({r["key"] for r in keyed})]))
-            met.append(F.flatten(_looked_up(found, licenses)))
-    candidates = text.withColumn("license", F.array_distinct(F.flatten(F.array(*met)))).where(F.size("license") > 0)
-    candidates = candidates.withColumn("license", F.explode("license"))
-    wanted = known.select("license", "size", "wanted")
+    for number, (size, width, band) in enumerate(cells):
+        own = F.col(f"_h{size}") if width == 1 else _minima(F.col(f"_p{number}"), width, width // 2)
+        keys = by_key[number]
+        found = F.array_intersect(own, F.array(*map(F.lit, keys)))
+        met.append(F.flatten(_looked_up(found, F.map_from_entries(F.array(*[
+            F.struct(F.lit(k), F.array(*map(F.lit, licenses))) for k, licenses in keys.items()])))))
+    candidates = text.withColumn("license", F.array_distinct(F.flatten(F.array(*met))))
+    # an outer explode: a filter on the array would be pushed into the text's projections and compute them per word
+    candidates = candidates.withColumn("license", F.explode_outer("license")).where("license IS NOT NULL")
+    wanted = known.select("license", "size", F.array_distinct("_h").alias("wanted"))
     joined = candidates.join(F.broadcast(wanted), "license")  # the stated templates
     shared = F.coalesce(*[F.when(F.col("size") == s, F.size(F.array_intersect("wanted", f"_h{s}"))) for s in sizes]).cast("long")
     out = joined.select("doc_id", "license", shared.alias("n_shared"), F.size("wanted").alias("_t"))
