@@ -106,7 +106,7 @@ def _license_sql() -> str:
     """Every text against every notice, by exact word shingles."""
     from mercato.llm.license_scan import LOWER, NOTICES, UPPER, template_words
     notices = ", ".join("('{}', [{}])".format(k, ", ".join("'" + w.replace("'", "''") + "'" for w in template_words(v))) for k, v in NOTICES.items())
-    lists = "list_transform(range(1, CAST(greatest(len(w) - size + 2, 1) AS BIGINT)), i -> array_to_string(w[i:i + size - 1], ' '))"
+    lists = "[array_to_string(w[i:i + size - 1], ' ') for i in range(1, CAST(greatest(len(w) - size + 2, 1) AS BIGINT))]"
     return f"""
 WITH notices(license, w) AS (VALUES {notices}),
 wanted AS (SELECT license, size, unnest(list_distinct({lists})) AS s FROM (SELECT license, w, least(5, len(w)) AS size FROM notices)),
@@ -125,7 +125,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_hamming_top_k": """
 WITH pairs AS (
   SELECT q.vec_id AS query_id, r.vec_id AS id,
-         CAST(list_sum(list_transform(range(1, 65), i -> CASE WHEN (coalesce(q.embedding[i], 0) > 0) <> (coalesce(r.embedding[i], 0) > 0) THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+         CAST(list_sum([CASE WHEN (coalesce(q.embedding[i], 0) > 0) <> (coalesce(r.embedding[i], 0) > 0) THEN 1 ELSE 0 END for i in range(1, 65)]) AS INTEGER) AS distance
   FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id
   WHERE q.vec_id % 100 = 0 AND q.embedding IS NOT NULL AND r.embedding IS NOT NULL)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance

@@ -321,8 +321,11 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = 20_000) -> Da
                 (F.col("anchor") - F.col("far_left")).alias("start"), (F.col("anchor") + F.col("far_right")).alias("stop")))).alias("spans")))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000) -> DataFrame:
-    """``docs`` plus ``spans`` (maximal removed byte ranges), ``n_bytes``, ``n_removed``, ``kept`` (the bytes left) and their sha256."""
+def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000, as_text: bool = False) -> DataFrame:
+    """``docs`` plus ``spans`` (maximal removed byte ranges), ``n_bytes``, ``n_removed``, ``kept`` (the bytes left) and their sha256.
+
+    ``as_text``: ``kept`` is a string; characters that a cut has left in part are left out.
+    """
     docs = docs.drop("spans", "n_bytes", "n_removed", "kept", "kept_sha256")
     marked = docs.join(repeated_spans(docs, length, most).withColumnsRenamed({"doc_id": "_id", "spans": "_found"}), F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
@@ -342,6 +345,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000) -> Da
             out.append((len(data), len(data) - len(kept), merged, kept, hashlib.sha256(kept).hexdigest()))
         n, removed, merged, kept, sha = zip(*out) if out else ((),) * 5
         return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(merged, pa.list_(pa.list_(pa.int64()))),
-                pa.array(kept, pa.binary()), pa.array(sha, pa.string())]
+                pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
+                pa.array(sha, pa.string())]
     return with_arrow_columns(
-        marked, make, "n_bytes long, n_removed long, spans array<array<long>>, kept binary, kept_sha256 string").drop("_found")
+        marked, make, "n_bytes long, n_removed long, spans array<array<long>>, "
+        f"kept {'string' if as_text else 'binary'}, kept_sha256 string").drop("_found")
