@@ -37,7 +37,7 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/region.parquet").count()
     spark.sql("SELECT 1").collect()
     session_s = time.perf_counter() - t0
-    fx = Fixtures(spark, sf_dir)
+    fx = Fixtures(spark, sf_dir, partitions=dict.fromkeys(("lineitem", "orders", "events"), cpus))  # files of one row group
 
     t = time.perf_counter()
     log = run_pipeline(spark, fx, f"{out}/warehouse", parallel=int(os.environ.get("BENCH_PARALLEL_JOBS", "4")),

@@ -42,8 +42,3 @@ def date_parts(ts) -> dict[str, Column]:
         "isodow": iso_dow(ts),
         "is_weekend": is_weekend(ts),
     }
-
-
-def add_minutes(ts, minutes) -> Column:
-    """Zone-less interval arithmetic: ``ts + minutes``."""
-    return F.timestamp_add("MINUTE", minutes if isinstance(minutes, Column) else F.lit(minutes), _c(ts))

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .text import _c
 
 
-def money(c, precision: int = 12, scale: int = 2) -> Column:
-    """``ROUND(c, scale)`` half-up, then the declared DECIMAL type."""
+def money(c, precision: int = 28, scale: int = 2) -> Column:
+    """``ROUND(c, scale)`` half-up, then a DECIMAL wide enough for sums at any scale (26 digits before the point)."""
     return F.round(_c(c), scale).cast(f"decimal({precision},{scale})")
 
 

@@ -67,14 +67,10 @@ def fill_text(c) -> Column:
     return F.coalesce(_c(c), F.lit(""))
 
 
-def fill_zero(c, cast: str | None = None) -> Column:
-    out = F.coalesce(_c(c), F.lit(0))
-    return out.cast(cast) if cast else out
-
-
 def batch_label(batch_id, width: int = 4) -> Column:
-    """Zero-padded batch number used in landed file names (``7`` -> ``0007``)."""
-    return F.lpad(_c(batch_id).cast("string"), width, "0")
+    """Zero-padded batch number used in landed file names (``7`` -> ``0007``); longer numbers stay whole."""
+    text = _c(batch_id).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def batch_id_from_path(path_col=None, prefix: str = "_batch_") -> Column:

@@ -8,12 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def related_rows(child: DataFrame, parent_keys: DataFrame, on: str | Sequence[str] = "order_id") -> DataFrame:
-    """Child rows whose key is in the released parent set (``isin`` -> left semi join)."""
-    on = [on] if isinstance(on, str) else list(on)
-    return child.join(parent_keys.select(*on), on=on, how="left_semi")
-
-
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent. NULL keys are orphans (they never match)."""
     parent_key = parent_key or child_key
@@ -21,11 +15,6 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
-def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
-    """One-row frame with the number of orphan child rows."""
-    return orphans(child, parent, child_key, parent_key).agg(F.count(F.lit(1)).cast("bigint").alias("orphans"))
-
-
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Foreign-key violations: like ``orphans`` but NULL keys are allowed (a nullable FK)."""
     return orphans(child.filter(F.col(child_key).isNotNull()), parent, child_key, parent_key)

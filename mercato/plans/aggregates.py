@@ -41,7 +41,7 @@ def agg_sales_monthly(daily: DataFrame) -> DataFrame:
         F.trim(F.min(F.date_format("full_date", "MMMM"))).alias("month_name"),
         F.sum("total_orders").alias("total_orders"),
         F.sum("total_items_sold").alias("total_items_sold"),
-        F.sum("total_revenue").alias("revenue"),
+        F.sum("total_revenue").cast("decimal(28,2)").alias("revenue"),  # a wider sum would lose digits in the ratio
     )
     out = out.select("year", "month", "month_name", "total_orders", "total_items_sold",
                      money("revenue").alias("total_revenue"),

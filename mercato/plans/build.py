@@ -76,15 +76,15 @@ class WarehouseBuild:
     # dimensions ---------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return W.dim_customers(self.customers)
+        return W.dim_customers(self.customers, unique=True)  # staging keeps one row per key
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
-        return W.dim_sellers(self.sellers)
+        return W.dim_sellers(self.sellers, unique=True)
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return W.dim_products(self.products)
+        return W.dim_products(self.products, unique=True)
 
     @cached_property
     def dim_date(self) -> DataFrame:

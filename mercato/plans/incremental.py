@@ -5,16 +5,18 @@ recomputed from the whole fact on every run. Facts are laid out by purchase
 month (``order_purchase_month`` = ``yyyyMM``), the summaries are written
 partitioned by the same month, and a refresh:
 
-1. takes the set of months touched by new or changed fact rows (a small
-   distinct aggregate of the delta),
-2. reads only those month partitions of the fact (dynamic partition pruning
-   on the month column: the touched-months table drives a semi-join),
+1. takes the set of months touched: those of the new or changed rows, and those
+   in which the changed or deleted rows were before (only keys are read for it),
+2. reads only those month partitions of the fact (a list of month numbers,
+   pushed down as a partition filter),
 3. recomputes the daily rows of those months and overwrites just those
-   partitions (``partitionOverwriteMode=dynamic``); other months' files are
-   not rewritten. Monthly rows are rolled up from the refreshed days.
+   partitions (``partitionOverwriteMode=dynamic``); a month left without rows
+   loses its partition; other months' files are not rewritten. Monthly rows are
+   rolled up from the refreshed days.
 
 Because a day's summary depends only on the facts of that day, the result is
-identical to a full recompute.
+identical to a full recompute, also for rows that move to another month, for
+deleted rows and for months that become empty.
 """
 
 from __future__ import annotations
@@ -54,13 +56,27 @@ def _daily_by_month(daily: DataFrame) -> DataFrame:
     return daily.withColumn(MONTH, (F.year("full_date") * 100 + F.month("full_date")).cast("int"))
 
 
+def _drop_months(spark: SparkSession, path: str, months: set[int]) -> None:
+    """Deletes the partitions of months that have no rows any more."""
+    jvm = spark.sparkContext._jvm
+    for month in sorted(months):
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MONTH}={month}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _months(df: DataFrame) -> set[int]:
+    return {r[0] for r in df.select(MONTH).distinct().collect()}  # a row for each month
+
+
 def refresh_daily(spark: SparkSession, fact_path: str, dim_date: DataFrame, months: DataFrame,
                   daily_path: str) -> None:
     """Recompute and overwrite only the touched months of the month-partitioned daily summary."""
-    fact = spark.read.parquet(fact_path).join(months, on=MONTH, how="left_semi")
+    touched = _months(months)
+    fact = spark.read.parquet(fact_path).where(F.col(MONTH).isin(sorted(touched)))
     daily = _daily_by_month(agg_sales_daily(fact, dim_date))
     (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(daily_path))
+    _drop_months(spark, daily_path, touched - _months(fact))
 
 
 def refresh_monthly(spark: SparkSession, daily_path: str, monthly_path: str) -> None:
@@ -69,20 +85,30 @@ def refresh_monthly(spark: SparkSession, daily_path: str, monthly_path: str) ->
     agg_sales_monthly(daily).write.mode("overwrite").parquet(monthly_path)
 
 
-def apply_fact_delta(spark: SparkSession, fact_path: str, delta: DataFrame) -> DataFrame:
-    """Replace the touched months of the fact with (old rows of those months minus the delta's
-    keys) plus the delta, and return the touched-months table for the summary refresh.
+def apply_fact_delta(spark: SparkSession, fact_path: str, delta: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+    """Puts ``delta``'s rows in place of those with the same key, takes out the keys of ``deleted``,
+    and returns the touched-months table for the summary refresh.
 
-    Rows are matched on the fact's primary key (order_id, order_item_id).
+    Rows are matched on the fact's primary key (order_id, order_item_id), in
+    whatever month they were. The delta is written once before it is used.
     """
-    months = touched_months(delta)
-    # the touched months are a handful of numbers; pinning them keeps them stable while the fact is rewritten
-    months_rows = spark.createDataFrame(months.collect(), months.schema)
-    old = spark.read.parquet(fact_path).join(months_rows, on=MONTH, how="left_semi").drop(MONTH)
-    keep = old.join(delta.select("order_id", "order_item_id"), on=["order_id", "order_item_id"], how="left_anti")
-    merged = keep.unionByName(delta.select(*keep.columns))
-    staging = f"{fact_path.rstrip('/')}__delta"
+    key = ["order_id", "order_item_id"]
+    root = fact_path.rstrip("/")
+    fact = spark.read.parquet(root)
+    columns = [c for c in fact.columns if c != MONTH]
+    typed = [F.col(c).cast(fact.schema[c].dataType).alias(c) for c in columns]
+    delta.select(*typed).write.mode("overwrite").parquet(f"{root}__delta")
+    new = spark.read.schema(fact.select(*columns).schema).parquet(f"{root}__delta")
+    keys = new.select(*key)
+    if deleted is not None:
+        keys = keys.unionByName(deleted.select(*key))
+    moved = fact.select(MONTH, *key).join(keys, on=key, how="left_semi")
+    touched = _months(touched_months(new)) | _months(moved)
+    old = fact.where(F.col(MONTH).isin(sorted(touched))).select(*columns)
+    merged = old.join(keys, on=key, how="left_anti").unionByName(new)
     # the new month partitions are staged first: overwriting a partition while reading it is unsafe
-    write_fact_by_month(merged, staging)
-    write_fact_by_month(spark.read.parquet(staging).drop(MONTH), fact_path, only_present_months=True)
-    return months_rows
+    merged.write.mode("overwrite").parquet(f"{root}__staged")
+    staged = spark.read.schema(merged.schema).parquet(f"{root}__staged")
+    write_fact_by_month(staged, root, only_present_months=True)
+    _drop_months(spark, root, touched - _months(with_month(staged)))
+    return spark.createDataFrame([(m,) for m in sorted(touched)], f"{MONTH} int")

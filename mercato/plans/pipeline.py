@@ -16,11 +16,9 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.quality import assert_quality, quality_checks
 from ..sources.sinks import write_counted
-from . import aggregates as A
 from .build import WarehouseBuild
 
 # Within a layer the tables are listed largest first: concurrent jobs are submitted in this
@@ -115,15 +113,6 @@ def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root}/dw/{n}") for n in DIMENSIONS + FACTS + SUMMARIES}
 
 
-def inventory_for_reads(tables: Mapping[str, DataFrame], hash_fn: str = "crc32") -> DataFrame:
-    """Rebuild ``agg_inventory`` from written tables (e.g. with the md5 stock variant)."""
-    return A.agg_inventory(tables["fact_order_items"], tables["dim_products"], hash_fn)
-
-
-def total_rows(df: DataFrame) -> int:
-    return int(df.agg(F.count(F.lit(1))).collect()[0][0])
-
-
 MICROBATCH_RELEASE = ["orders", "order_items", "order_payments", "order_reviews"]
 
 

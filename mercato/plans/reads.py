@@ -90,7 +90,7 @@ def payments_breakdown(payment_methods: DataFrame, weighted: bool = False) -> Da
     out = g.agg(
         F.sum("total_transactions").alias("total_transactions"),
         F.sum("total_orders").alias("total_orders"),
-        F.sum("total_revenue").cast("decimal(22,2)").alias("total_revenue"),
+        money(F.sum("total_revenue")).alias("total_revenue"),
         avg_inst.alias("avg_installments"),
         avg_val.alias("avg_payment_value"),
     )

@@ -20,22 +20,26 @@ from ..schemas import conform
 
 # --------------------------------------------------------------------------- dimensions
 
-def dim_customers(customers: DataFrame) -> DataFrame:
-    """One row per customer id (a plain DISTINCT could keep two rows for one key)."""
-    return conform(keep_first(customers, ["customer_id"]), "dim_customers")
+def _one_per(df: DataFrame, key: str, unique: bool) -> DataFrame:
+    """One row per key (a plain DISTINCT could keep two); ``unique``: the input, such as cleaned staging, has that already."""
+    return df if unique else keep_first(df, [key])
 
 
-def dim_sellers(sellers: DataFrame) -> DataFrame:
-    return conform(keep_first(sellers, ["seller_id"]), "dim_sellers")
+def dim_customers(customers: DataFrame, unique: bool = False) -> DataFrame:
+    return conform(_one_per(customers, "customer_id", unique), "dim_customers")
 
 
-def dim_products(products: DataFrame) -> DataFrame:
+def dim_sellers(sellers: DataFrame, unique: bool = False) -> DataFrame:
+    return conform(_one_per(sellers, "seller_id", unique), "dim_sellers")
+
+
+def dim_products(products: DataFrame, unique: bool = False) -> DataFrame:
     """Products with the misspelt ``*_lenght`` columns renamed; sizes as DECIMAL(10,2)."""
     renamed = products.withColumnsRenamed({
         "product_name_lenght": "product_name_length",
         "product_description_lenght": "product_description_length",
     })
-    return conform(keep_first(renamed, ["product_id"]), "dim_products")
+    return conform(_one_per(renamed, "product_id", unique), "dim_products")
 
 
 def _date_rows(d: Column) -> list[Column]:

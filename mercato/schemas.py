@@ -66,14 +66,14 @@ SCHEMAS: dict[str, T.StructType] = {
                               ("review_score", I), ("review_comment_title", S), ("review_comment_message", S),
                               ("review_creation_date", TS), ("review_answer_timestamp", TS)),
     "agg_sales_daily": _st(("full_date", D), ("total_orders", L), ("total_items_sold", L),
-                           ("total_revenue", dec(12, 2)), ("avg_order_value", dec(12, 2))),
+                           ("total_revenue", dec(28, 2)), ("avg_order_value", dec(12, 2))),
     "agg_sales_monthly": _st(("year", I), ("month", I), ("month_name", S), ("total_orders", L),
-                             ("total_items_sold", L), ("total_revenue", dec(12, 2)), ("avg_order_value", dec(12, 2))),
+                             ("total_items_sold", L), ("total_revenue", dec(28, 2)), ("avg_order_value", dec(12, 2))),
     "agg_inventory": _st(("product_id", S), ("product_category_name_english", S), ("total_units_sold", L),
-                         ("total_orders", L), ("total_revenue", dec(12, 2)), ("avg_price", dec(10, 2)),
+                         ("total_orders", L), ("total_revenue", dec(28, 2)), ("avg_price", dec(10, 2)),
                          ("stock_qty", I), ("reorder_level", I), ("stock_status", S)),
     "agg_payment_methods": _st(("payment_type", S), ("total_transactions", L), ("total_orders", L),
-                               ("total_revenue", dec(12, 2)), ("avg_installments", dec(5, 2)),
+                               ("total_revenue", dec(28, 2)), ("avg_installments", dec(5, 2)),
                                ("avg_payment_value", dec(10, 2))),
     "agg_reviews_monthly": _st(("year", I), ("month", I), ("total_reviews", L), ("avg_score", dec(3, 2)),
                                ("score_5", L), ("score_4", L), ("score_3", L), ("score_2", L), ("score_1", L)),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the library's results depend on (see README "Pinned settings").
@@ -39,26 +36,4 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    The setting is read from the session. Only when it is absent *and* the
-    master is local (tests, the bench) a folder of our own is set: ``fallback``
-    or a fresh directory under the local temp dir. On a cluster nothing
-    machine-local is ever set; the pipeline cuts lineage with written tables.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback is None and not spark.sparkContext.master.startswith("local"):
-        return None
-    path = fallback or tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path

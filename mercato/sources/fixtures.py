@@ -20,8 +20,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .layout import rebalance
-
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
@@ -113,14 +111,17 @@ class Fixtures:
     column pruning down to the scan.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: dict[str, int] | None = None):
+        """``partitions``: for a table, over how many partitions its rows are spread (a file of one row group is one task)."""
         self.spark = spark
+        self.partitions = partitions or {}
         self.sf_dir = sf_dir.rstrip("/")
         self._base: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._base:
-            self._base[name] = rebalance(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._base[name] = df.repartition(self.partitions[name]) if name in self.partitions else df
         return self._base[name]
 
     def raw(self, view: str) -> DataFrame:

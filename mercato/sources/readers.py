@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_COLUMNS
-from .layout import rebalance
 
 # Logical raw table -> file stem. Default: the file is named after the table
 # (``orders.csv``); pass another mapping for other export names.
@@ -29,35 +28,39 @@ MULTILINE_TABLES = {"order_reviews"}
 
 def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     return (spark.read.option("header", True).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("enforceSchema", False))
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Header of a CSV file (reads only the first line of each file)."""
-    first = spark.read.option("header", False).option("multiLine", False).csv(path).limit(1).collect()
+    """Header of a CSV file (reads only its first line)."""
+    first = spark.read.option("header", False).option("multiLine", False).option("escape", '"').csv(path).limit(1).collect()
     return [str(c) for c in first[0]] if first else []
 
 
-def normalise_names(df: DataFrame) -> DataFrame:
-    """Header trimmed and lower-cased."""
-    return df.toDF(*[c.strip().lower() for c in df.columns])
-
-
 def read_raw_csv(spark: SparkSession, path: str, table: str | None = None,
-                 columns: Iterable[str] | None = None, multi_line: bool | None = None) -> DataFrame:
-    """All-text read of one raw export. Columns come from ``table``'s registry entry,
-    an explicit list, or the file header; in every case every column is a string.
+                 columns: Iterable[str] | None = None, multi_line: bool | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """All-text read of one raw export, its columns bound by the names in the header.
 
-    ``multi_line`` defaults to True only for tables with free text
-    (``MULTILINE_TABLES``); a multi-line file is one task, so the result is
-    rebalanced over the cluster.
+    Header names are trimmed and lower-cased. The result has ``columns``, or
+    those of ``table``'s registry entry, or all of the header, in that order
+    whatever the file's; a column that the file lacks is an error.
+
+    ``multi_line`` defaults to True where free text may hold line breaks: in
+    the registry's ``MULTILINE_TABLES``, and in files of no known table. Such a
+    file is read by one task; ``partitions`` spreads its rows afterwards.
     """
-    if columns is None:
-        columns = RAW_COLUMNS[table] if table else [c.strip().lower() for c in header_of(spark, path)]
+    names = header_of(spark, path)
+    header = [c.strip().lower() for c in names]
+    wanted = list(columns) if columns is not None else RAW_COLUMNS[table] if table else header
+    missing = [c for c in wanted if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(header) or 'empty'}")
     if multi_line is None:
-        multi_line = table in MULTILINE_TABLES
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return rebalance(normalise_names(_csv(spark, multi_line).schema(schema).csv(path)))
+        multi_line = table is None or table in MULTILINE_TABLES
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+    df = _csv(spark, multi_line).schema(schema).csv(path).toDF(*header).select(*wanted)
+    return df.repartition(partitions) if partitions else df
 
 
 def read_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -94,17 +97,23 @@ def require_sources(spark: SparkSession, directory: str, names: Iterable[str], s
         raise FileNotFoundError(f"missing required source files in {directory}: {', '.join(missing)}")
 
 
-def read_dir(spark: SparkSession, directory: str, files: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """Every ``*.csv`` of a directory as an all-text DataFrame, keyed ``<table>_raw``.
+def read_dir(spark: SparkSession, directory: str, files: Mapping[str, str] | None = None,
+             partitions: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+    """The registry's raw tables from a directory of CSV exports, keyed ``<table>_raw``.
 
-    With ``files`` (logical table -> file stem, default the public export's
-    names) the required files are checked first; without it every file is
-    loaded under its own stem.
+    ``files`` names the file stem of tables whose file is not named after the
+    table. A missing file fails before anything is read. ``partitions``: for a
+    table, over how many partitions its rows are spread (see ``read_raw_csv``).
     """
-    if files is None:
-        files = DEFAULT_FILES
-        present = {f[:-4] for f in list_files(spark, directory)}
-        if not set(files.values()) <= present:
-            return {stem: read_raw_csv(spark, f"{directory}/{stem}.csv") for stem in sorted(present)}
-    require_sources(spark, directory, files.values())
-    return {f"{table}_raw": read_raw_csv(spark, f"{directory}/{stem}.csv", table) for table, stem in files.items()}
+    stems = DEFAULT_FILES | dict(files or {})
+    unknown = sorted(set(stems) - set(RAW_COLUMNS))
+    if unknown:
+        raise ValueError(f"unknown tables: {', '.join(unknown)}")
+    require_sources(spark, directory, stems.values())
+    return {f"{table}_raw": read_raw_csv(spark, f"{directory}/{stem}.csv", table, partitions=(partitions or {}).get(table))
+            for table, stem in stems.items()}
+
+
+def read_every(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """Every ``*.csv`` of a directory, with the columns of its own header, keyed ``<stem>_raw``."""
+    return {f"{f[:-4]}_raw": read_raw_csv(spark, f"{directory}/{f}") for f in list_files(spark, directory)}

@@ -3,19 +3,18 @@
 Two consumers are provided:
 
 ``start_batch_consumer``
-    File-source stream over landed batch files. The producer (``land_batches``)
-    writes every batch's items, payments and reviews first and its orders last,
-    each table partitioned by ``batch_id``; the orders files are what the
-    stream watches, so a batch is picked up only after its children are in
-    place. Inside ``foreachBatch`` the ordinary batch API computes the exact
-    KPIs (distinct counts, anti joins) for the batch ids the micro-batch
-    touched, reading only those batches' ``batch_id=<n>`` directories (the
-    trigger's cost is independent of how many batches landed before), and writes
-    them with a per-batch partition overwrite, so replaying a micro-batch
-    after a failure rewrites the same partitions (no duplicate KPI rows).
-    Progress lives in the checkpoint; ``maxFilesPerTrigger`` bounds the work
-    per trigger; processed order files can be archived by the source (Spark
-    moves a micro-batch's files once the following micro-batch commits).
+    File-source stream over the manifests of landed batches. The producer
+    (``land_batches``) writes each batch's items, payments, reviews and orders,
+    partitioned by ``batch_id``, and last a manifest with their row counts; both
+    replace what an earlier landing of the same batch left. A manifest is what
+    the stream watches, so a batch without one is not seen. Inside
+    ``foreachBatch`` the landed rows are counted against the manifest; the exact
+    KPIs (distinct counts, anti joins) of the complete batches are written with a
+    per-batch partition overwrite, then an incomplete batch stops the query
+    before the trigger commits, so that a restart takes it up again and nothing
+    is lost or counted twice. A finished batch's four parts are then moved to
+    the archive, where a replay finds them. ``maxFilesPerTrigger`` bounds the
+    batches, and so all driver work, of a trigger.
 
 ``start_window_kpis``
     Event-time stream over raw orders: 5-minute tumbling windows aligned to
@@ -26,6 +25,7 @@ Two consumers are provided:
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,63 +33,112 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.microbatch import BATCH, batch_inventory_details, batch_summary
-from ..sources.readers import path_exists
 from ..sources.sinks import append_batch
 
 CHILDREN = ("order_items", "order_payments", "order_reviews")
 LAND_ORDER = CHILDREN + ("orders",)
+MANIFEST = T.StructType([*(T.StructField(f"{t}_rows", T.LongType()) for t in LAND_ORDER), T.StructField("batch_id", T.LongType())])
+
+
+class IncompleteBatch(ValueError):
+    """Landed rows differ from a batch's manifest."""
+
+
+def _replace_batches(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
 def land_batches(batches: Mapping[str, DataFrame], landing: str) -> None:
-    """Producer: append released batches to ``landing/<table>/batch_id=<n>/``; orders last.
+    """Producer: replace the given batches in ``landing/<table>/batch_id=<n>/``; their manifests come last.
 
     ``batches`` should be written tables (e.g. ``run_microbatch``'s ``batches/*``):
     each of the four writes would otherwise recompute the window assignment.
+    Landing a batch again leaves it as if landed once.
     """
+    landing = landing.rstrip("/")
     for name in LAND_ORDER:
-        batches[name].write.mode("append").partitionBy("batch_id").parquet(f"{landing.rstrip('/')}/{name}")
-
-
-def _landed(spark: SparkSession, landing: str, name: str, schema: T.StructType, ids: list[int]) -> DataFrame:
-    """Rows of the given batches only: just their ``batch_id=<n>`` directories are listed and read,
-    so a trigger's cost does not grow with the number of batches landed before it."""
-    base = f"{landing}/{name}"
-    paths = [f"{base}/batch_id={i}" for i in ids if path_exists(spark, f"{base}/batch_id={i}")]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
+        _replace_batches(batches[name], f"{landing}/{name}")
+    counts = [batches[name].groupBy("batch_id").agg(F.count("*").alias("n")).withColumn("part", F.lit(name)) for name in LAND_ORDER]
+    tagged = reduce(DataFrame.unionByName, counts)
+    manifest = tagged.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(*[
+        F.coalesce(F.sum(F.when(F.col("part") == name, F.col("n"))), F.lit(0)).alias(f"{name}_rows") for name in LAND_ORDER])
+    # a batch without orders is no batch: its children are released with their orders
+    _replace_batches(manifest.where("orders_rows > 0"), f"{landing}/manifest")
+
+
+def _batch_dirs(spark: SparkSession, base: str | None) -> set[int]:
+    """Batches that have a folder under ``base``: one listing."""
+    if base is None:
+        return set()
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return {int(n.split("=")[1]) for n in names if n.startswith("batch_id=")}
+
+
+def _landed(spark: SparkSession, bases: list[str], schema: T.StructType, ids: set[int]) -> DataFrame:
+    """Rows of the given batches only, each from the first of ``bases`` that has it."""
+    frames, left = [], set(ids)
+    for base in bases:
+        here = left & _batch_dirs(spark, base)
+        left -= here
+        if here:
+            frames.append(spark.read.schema(schema).option("basePath", base).parquet(
+                *[f"{base}/batch_id={i}" for i in sorted(here)]).select(*schema.names))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+
+
+def _archive(spark: SparkSession, landing: str, archive: str, ids: set[int]) -> None:
+    """Moves the four parts of finished batches; a part that is moved already stays where it is."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in LAND_ORDER:
+        for i in sorted(ids & _batch_dirs(spark, f"{landing}/{name}")):
+            old, new = (jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/batch_id={i}") for root in (landing, archive))
+            fs = old.getFileSystem(conf)
+            fs.delete(new, True)  # of an earlier landing
+            fs.mkdirs(new.getParent())
+            if not fs.rename(old, new):
+                raise OSError(f"cannot move {old} to {new}")
 
 
 def start_batch_consumer(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                          schemas: Mapping[str, T.StructType], inventory: DataFrame, customers: DataFrame,
                          products: DataFrame, sellers: DataFrame, *, available_now: bool = True,
-                         processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                         processing_time: str | None = None, max_files_per_trigger: int = 64,
                          archive_dir: str | None = None) -> StreamingQuery:
-    """Start the landed-files consumer; KPIs go to ``sink/batch_summary`` and ``sink/batch_inventory_details``.
+    """Start the landed-batch consumer; KPIs go to ``sink/batch_summary`` and ``sink/batch_inventory_details``.
 
     ``schemas``: the four landed tables' schemas (each including ``batch_id``,
     ``window_start``, ``window_end``). ``inventory`` and the reference-key
     tables are static inputs: pass written tables, since every trigger reads them.
+    ``max_files_per_trigger``: batches taken up at a time.
     """
     landing, sink = landing.rstrip("/"), sink.rstrip("/")
-    reader = spark.readStream.schema(schemas["orders"])
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.parquet(f"{landing}/orders")
-
-    def process(new_orders: DataFrame, epoch_id: int) -> None:
-        # The micro-batch only says which batches were touched (a few ids per
-        # trigger, bounded by maxFilesPerTrigger); a batch whose order files
-        # straddle two triggers is recomputed from all its landed rows, so the
-        # per-batch partition written last is always complete.
-        ids = sorted(r["batch_id"] for r in new_orders.select("batch_id").distinct().collect())
-        if not ids:
+    archive = archive_dir.rstrip("/") if archive_dir else None
+    reader = spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:  # the manifests themselves: Spark moves them once a later trigger has committed
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", f"{archive}/manifest")
+    stream = reader.parquet(f"{landing}/manifest")
+
+    def process(manifests: DataFrame, epoch_id: int) -> None:
+        # a row for each batch of the trigger, at most max_files_per_trigger
+        promised = {r["batch_id"]: tuple(r[f"{t}_rows"] for t in LAND_ORDER) for r in manifests.collect()}
+        if not promised:
             return
-        batches = {name: _landed(spark, landing, name, schemas[name], ids) for name in LAND_ORDER}
-        append_batch(batch_summary(batches, inventory, customers, products, sellers), f"{sink}/batch_summary")
-        append_batch(batch_inventory_details(batches["order_items"], inventory), f"{sink}/batch_inventory_details")
+        batches = {t: _landed(spark, [f"{root}/{t}" for root in (landing, archive) if root], schemas[t], set(promised))
+                   for t in LAND_ORDER}
+        found = {t: {r["batch_id"]: r["count"] for r in df.groupBy("batch_id").count().collect()} for t, df in batches.items()}
+        complete = {i for i, n in promised.items() if n == tuple(found[t].get(i, 0) for t in LAND_ORDER)}
+        if complete:
+            whole = {t: df.where(F.col("batch_id").isin(sorted(complete))) for t, df in batches.items()}
+            append_batch(batch_summary(whole, inventory, customers, products, sellers), f"{sink}/batch_summary")
+            append_batch(batch_inventory_details(whole["order_items"], inventory), f"{sink}/batch_inventory_details")
+            if archive:
+                _archive(spark, landing, archive, complete)
+        if len(complete) < len(promised):
+            raise IncompleteBatch(f"landed rows differ from the manifest in batches {sorted(set(promised) - complete)}")
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if processing_time:
@@ -114,15 +163,16 @@ def window_kpis(orders: DataFrame, anchor_micros: int, minutes: int = 5, waterma
     """Watermarked tumbling-window KPIs of an orders stream (or a static frame, for comparison).
 
     Zone-less timestamps are read as UTC instants (the session zone is pinned
-    to UTC), since watermarks need ``TIMESTAMP``. Distinct customers use
-    ``size(collect_set)``: exact, with state bounded by the window's customers.
+    to UTC), since watermarks need ``TIMESTAMP``. Customers are made distinct in
+    a first grouping by window and customer, whose state is spread over all
+    tasks; the second has one counter pair for each window.
     """
     width = f"{minutes} minutes"
     t = F.col(ts).cast("timestamp")
-    grouped = (orders.withColumn("__ts", t).withWatermark("__ts", watermark)
-               .groupBy(F.window("__ts", width, width, window_start_offset(anchor_micros, minutes)).alias("w")))
-    return grouped.agg(F.count("*").alias("orders"),
-                       F.size(F.collect_set("customer_id")).cast("bigint").alias("unique_customers")).select(
+    by_customer = (orders.withColumn("__ts", t).withWatermark("__ts", watermark)
+                   .groupBy(F.window("__ts", width, width, window_start_offset(anchor_micros, minutes)).alias("w"), "customer_id")
+                   .agg(F.count("*").alias("n")))
+    return by_customer.groupBy("w").agg(F.sum("n").alias("orders"), F.count("customer_id").alias("unique_customers")).select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), "orders", "unique_customers")
 

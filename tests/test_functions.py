@@ -85,6 +85,6 @@ def test_exact_rounding(spark):
 
 def test_batch_labels(spark):
     from mercato.functions import batch_id_from_path, batch_label
-    df = spark.createDataFrame([(7, "landing/orders_batch_0007.csv"), (12, "x/other.csv")], "b int, p string")
+    df = spark.createDataFrame([(7, "landing/orders_batch_0007.csv"), (12345, "x/other.csv")], "b int, p string")
     got = df.select(batch_label("b").alias("l"), batch_id_from_path("p").alias("i")).collect()
-    assert [(r["l"], r["i"]) for r in got] == [("0007", 7), ("0012", None)]
+    assert [(r["l"], r["i"]) for r in got] == [("0007", 7), ("12345", None)]

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from mercato.sources.readers import read_dir, read_raw_csv, require_sources
+from mercato.sources.readers import read_dir, read_every, read_raw_csv, require_sources
 from mercato.sources.sinks import append_batch, export_csv, refresh, to_json_rows, write_counted
 
 
@@ -31,12 +31,39 @@ def test_leading_zero_zip_stays_text(spark, tmp_path):
 
 def test_require_sources_and_read_dir(spark, tmp_path):
     (tmp_path / "orders.csv").write_text("order_id\n1\n")
+    (tmp_path / "notes.csv").write_text('id, Note\n1,"two\nlines"\n')
     with pytest.raises(FileNotFoundError):
         require_sources(spark, str(tmp_path), ["orders", "customers"])
     with pytest.raises(FileNotFoundError):
         require_sources(spark, str(tmp_path / "nope"), ["orders"])
-    tables = read_dir(spark, str(tmp_path))
-    assert list(tables) == ["orders"] and tables["orders"].count() == 1
+    with pytest.raises(FileNotFoundError, match="customers"):  # no other mode when a file is missing
+        read_dir(spark, str(tmp_path))
+    every = read_every(spark, str(tmp_path))
+    assert sorted(every) == ["notes_raw", "orders_raw"] and every["orders_raw"].count() == 1
+    assert every["notes_raw"].columns == ["id", "note"] and every["notes_raw"].collect()[0]["note"] == "two\nlines"
+
+
+def test_columns_are_bound_by_header(spark, tmp_path):
+    (tmp_path / "people.csv").write_text("Customer_State,customer_id, customer_unique_id,customer_zip_code_prefix,customer_city,extra\n"
+                                         "SP,c1,u1,01037,sao paulo,x\n")
+    got = read_raw_csv(spark, str(tmp_path / "people.csv"), "customers", partitions=2)
+    assert got.columns[0] == "customer_id" and "extra" not in got.columns
+    assert got.collect()[0].asDict() == {"customer_id": "c1", "customer_unique_id": "u1", "customer_zip_code_prefix": "01037",
+                                         "customer_city": "sao paulo", "customer_state": "SP"}
+    assert got.rdd.getNumPartitions() == 2
+    (tmp_path / "short.csv").write_text("customer_id,customer_state\nc1,SP\n")
+    with pytest.raises(ValueError, match="customer_city"):
+        read_raw_csv(spark, str(tmp_path / "short.csv"), "customers")
+
+
+def test_renamed_files(spark, tmp_path):
+    from mercato.schemas import RAW_COLUMNS
+    for table, columns in RAW_COLUMNS.items():
+        (tmp_path / f"olist_{table}_x.csv").write_text(",".join(columns) + "\n" + ",".join(f'"{c}\nx"' if table == "order_reviews" else c for c in columns) + "\n")
+    got = read_dir(spark, str(tmp_path), {t: f"olist_{t}_x" for t in RAW_COLUMNS})
+    assert sorted(got) == sorted(f"{t}_raw" for t in RAW_COLUMNS) and all(df.count() == 1 for df in got.values())
+    with pytest.raises(ValueError, match="unknown"):
+        read_dir(spark, str(tmp_path), {"nothing": "x"})
 
 
 def test_refresh_twice_equals_once(spark, tmp_path):
@@ -73,17 +100,6 @@ def test_save_table_creates_database(spark):
     assert spark.table("mercato_test_db.t3").columns == ["id", "x"]
 
 
-def test_rebalance_only_large_splits(spark, tmp_path):
-    from mercato.sources.layout import _bytes, rebalance
-    assert _bytes("64MB") == 64 << 20 and _bytes("1g") == 1 << 30 and _bytes("1024") == 1024
-    p = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(p)
-    df = spark.read.parquet(p)
-    assert rebalance(df) is df  # small single split: left alone
-    big = rebalance(df, min_partitions=4, split_bytes=16)  # pretend splits above 16 bytes are large
-    assert big.rdd.getNumPartitions() == 4 and big.count() == 1000
-
-
 def test_read_typed_keeps_values_untrimmed(spark, tmp_path):
     from mercato.sources.readers import read_typed
     p = tmp_path / "order_payments.csv"
@@ -93,11 +109,6 @@ def test_read_typed_keeps_values_untrimmed(spark, tmp_path):
     assert r["payment_type"] == " credit_card " and r["payment_installments"] is None and r["payment_value"] == "10.5"
 
 
-def test_checkpoint_dir_comes_from_the_session(spark):
-    from mercato.session import ensure_checkpoint_dir
-    assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
 def test_partitioned_refresh_replaces_only_present_partitions(spark, tmp_path):
     path = str(tmp_path / "p")
     refresh(spark.range(9).selectExpr("id", "id % 3 AS g"), path, partition_by=["g"], sort_within=["id"])

@@ -32,8 +32,7 @@ def test_stream_equals_batch_with_restart_and_replay(spark, fx, tmp_path):
             "products": _static(spark, fx["ref_products"], f"{d}/static/products"),
             "sellers": _static(spark, fx["ref_sellers"], f"{d}/static/sellers")}
     land_batches({k: v.filter("batch_id <= 30") for k, v in b.items()}, f"{d}/landing")
-    n_files = len(list((tmp_path / "landing" / "orders").rglob("*.parquet")))
-    _consumer(spark, refs, mb, d, max_files_per_trigger=max(1, n_files // 2 + 1)).awaitTermination()
+    _consumer(spark, refs, mb, d, max_files_per_trigger=16).awaitTermination()
     first = spark.read.parquet(f"{d}/sink/batch_summary")
     assert first.count() == 30
     # restart on the same checkpoint: nothing new, nothing reprocessed
@@ -112,26 +111,68 @@ def test_stream_static_enrichment_and_orphans(spark, fx, tmp_path):
     assert spark.table("orphans_t").count() == orphans(orders, refs, "customer_id").count()
 
 
-def test_consumed_files_are_archived(spark, fx, tmp_path):
-    d = str(tmp_path)
+def _small(spark, fx, d, n):
     mb = MicroBatchBuild(fx)
-    b = {k: _static(spark, v.filter("batch_id <= 10"), f"{d}/released/{k}") for k, v in mb.batches.items()}
-    inv = _static(spark, mb.inventory, f"{d}/inv")
-
-    def consume():
-        start_batch_consumer(spark, f"{d}/landing", f"{d}/sink", f"{d}/ckpt", landed_schemas(b), inv,
-                             fx["ref_customers"], fx["ref_products"], fx["ref_sellers"],
-                             archive_dir=f"{d}/processed").awaitTermination()
-
-    land_batches({k: v.filter("batch_id <= 5") for k, v in b.items()}, f"{d}/landing")
-    first = {p.name for p in (tmp_path / "landing" / "orders").rglob("*.parquet")}
-    consume()
-    land_batches({k: v.filter("batch_id > 5") for k, v in b.items()}, f"{d}/landing")
-    consume()  # committing this run's batch archives the files of the batch before it
-    archived = {p.name for p in (tmp_path / "processed").rglob("*.parquet")}
-    left = {p.name for p in (tmp_path / "landing" / "orders").rglob("*.parquet")}
-    assert first and first <= archived and not (first & left)
-    assert spark.read.parquet(f"{d}/sink/batch_summary").count() == 10
+    b = {k: _static(spark, v.filter(f"batch_id <= {n}"), f"{d}/released/{k}") for k, v in mb.batches.items()}
+    refs = {"inventory": _static(spark, mb.inventory, f"{d}/inv"), "customers": fx["ref_customers"],
+            "products": fx["ref_products"], "sellers": fx["ref_sellers"]}
+    mb.__dict__["batches"] = b
+    return mb, b, refs
+
+
+def test_consumed_batches_are_archived_whole(spark, fx, tmp_path):
+    d = str(tmp_path)
+    mb, b, refs = _small(spark, fx, d, 6)
+    # each batch lies in several files; a trigger takes one batch
+    land_batches({k: v.repartition(3).filter("batch_id <= 3") for k, v in b.items()}, f"{d}/landing")
+    _consumer(spark, refs, mb, d, max_files_per_trigger=1, archive_dir=f"{d}/processed").awaitTermination()
+    for table in ("orders", "order_items", "order_payments", "order_reviews"):
+        ids = {r[0] for r in b[table].filter("batch_id <= 3").select("batch_id").distinct().collect()}
+        assert {int(p.name.split("=")[1]) for p in (tmp_path / "processed" / table).glob("batch_id=*")} == ids
+        assert not list((tmp_path / "landing" / table).glob("batch_id=*"))
+    land_batches({k: v.filter("batch_id > 3") for k, v in b.items()}, f"{d}/landing")
+    _consumer(spark, refs, mb, d, archive_dir=f"{d}/processed").awaitTermination()
+    got, want = spark.read.parquet(f"{d}/sink/batch_summary"), mb.batch_summary
+    assert got.count() == 6 and got.select(*want.columns).exceptAll(want).count() == 0
+    # a replay from a fresh checkpoint finds the parts in the archive
+    land_batches({k: v.filter("batch_id = 1") for k, v in b.items()}, f"{d}/again")
+    start_batch_consumer(spark, f"{d}/again", f"{d}/sink2", f"{d}/ckpt2", landed_schemas(b), refs["inventory"], refs["customers"],
+                         refs["products"], refs["sellers"], archive_dir=f"{d}/processed").awaitTermination()
+    assert spark.read.parquet(f"{d}/sink2/batch_summary").count() == 1
+
+
+def test_landing_twice_is_landing_once(spark, fx, tmp_path):
+    d = str(tmp_path)
+    mb, b, refs = _small(spark, fx, d, 3)
+    for _ in range(2):
+        land_batches(b, f"{d}/landing")
+    _consumer(spark, refs, mb, d).awaitTermination()
+    got, want = spark.read.parquet(f"{d}/sink/batch_summary"), mb.batch_summary
+    assert got.count() == 3 and got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_incomplete_batch_is_left_alone(spark, fx, tmp_path):
+    import shutil
+
+    import pytest
+    d = str(tmp_path)
+    mb, b, refs = _small(spark, fx, d, 3)
+    land_batches(b, f"{d}/landing")
+    some = b["order_items"].agg(F.max("batch_id")).first()[0]
+    part = tmp_path / "landing" / "order_items" / f"batch_id={some}"
+    shutil.copytree(part, tmp_path / "kept")
+    for f in part.glob("*"):
+        f.unlink()
+    with pytest.raises(Exception, match="differ from the manifest"):
+        _consumer(spark, refs, mb, d).awaitTermination()
+    assert spark.read.parquet(f"{d}/sink/batch_summary").filter(F.col("batch_id") == some).count() == 0
+    shutil.copytree(tmp_path / "kept", part, dirs_exist_ok=True)
+    _consumer(spark, refs, mb, d).awaitTermination()  # the same trigger again
+    got, want = spark.read.parquet(f"{d}/sink/batch_summary"), mb.batch_summary
+    assert got.count() == 3 and got.select(*want.columns).exceptAll(want).count() == 0
+    # children without their orders and manifest are not taken up
+    b["order_items"].write.mode("append").partitionBy("batch_id").parquet(f"{d}/other/order_items")
+    assert not (tmp_path / "other" / "manifest").exists()
 
 
 def test_stream_stream_release_matches_batch(spark, fx, tmp_path):
