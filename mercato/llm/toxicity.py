@@ -240,13 +240,14 @@ class Adam:
             self.net.weights[k][at] -= (rate * self.m[k][at] / (np.sqrt(self.v[k][at]) + 1e-7)).astype(np.float32)
 
 
-def train(texts: list[bytes], y: np.ndarray, width: int, epochs: int, rate: float = 0.01, batch_words: int = 24_000, seed: int = 11) -> Net:
-    """A net learnt from whole texts and their labels (windows that do not overlap)."""
+def train(texts: list[bytes], y: np.ndarray, width: int, epochs: int, rate: float = 0.01, seed: int = 11) -> Net:
+    """A net learnt from whole texts and their labels (windows that do not overlap), about 40 steps an epoch."""
     net, rng = new_net(), np.random.default_rng(seed)
     adam = Adam(net, rate)
     off = np.append(0, np.cumsum([len(t) for t in texts]))
     data, starts, ends, at, h = _split(np.frombuffer(b"".join(texts), np.uint8), off)
     size = np.diff(at)
+    batch_words = int(np.clip(size.sum() // 40, 500, 24_000))
     for epoch in range(epochs):
         order = rng.permutation(np.flatnonzero(size >= 1))
         cuts = np.searchsorted(np.cumsum(size[order]), np.arange(batch_words, size[order].sum() + batch_words, batch_words))
