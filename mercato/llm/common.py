@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, *names: str):
+    """``docs`` with its columns of these (an operator's working) names renamed, and the function that names them back."""
+    away = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(away), lambda df: df.withColumnsRenamed({v: k for k, v in away.items()})
+
+
 def words_column(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text; empty for NULL."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACE[1:], " " * (len(SPACE) - 1))
@@ -212,3 +218,21 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                 e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         before = now
     raise RuntimeError("components did not settle")
+
+
+def _named(labels: DataFrame, node: str, name: str) -> DataFrame:
+    return labels.select(F.col("node").alias(node), F.col("component").alias(name))
+
+
+def between(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """``edges`` whose ends are in different components of ``labels`` (a node without a label is its own), with these as ca, cb."""
+    known = edges.join(_named(labels, "a", "_ca"), "a", "left").join(_named(labels, "b", "_cb"), "b", "left")
+    return known.withColumn("ca", F.coalesce("_ca", "a")).withColumn("cb", F.coalesce("_cb", "b")).drop("_ca", "_cb").where("ca <> cb")
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after further links: only components, contracted to one node each, are linked anew."""
+    top = components(between(edges, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    mapped = labels.join(_named(top, "component", "_top"), "component", "left").select("node", F.coalesce("_top", "component").alias("component"))
+    alone = top.join(labels.select(F.col("component").alias("node")), "node", "left_anti")
+    return written(mapped.unionByName(alone), "labels")

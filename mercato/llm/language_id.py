@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import lower_table, row_slices, text_bytes, with_arrow_columns, word_spans
+from mercato.llm.common import apart, lower_table, row_slices, text_bytes, with_arrow_columns, word_spans
 
 BITS = 16
 
@@ -186,5 +186,6 @@ def detect(docs: DataFrame, model: LanguageModel, rounds: int = 6, penalty: floa
         return [pa.array(names, pa.string()), pa.array(np.clip(top, 0, 1).astype(float)),
                 pa.array(spread, pa.map_(pa.string(), pa.float64()))]
 
+    docs, named_back = apart(docs, "_letter")
     flagged = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return with_arrow_columns(flagged, make, "lang_pred string, score double, languages map<string,double>").drop("_letter")
+    return named_back(with_arrow_columns(flagged, make, "lang_pred string, score double, languages map<string,double>").drop("_letter"))

@@ -4,7 +4,8 @@ A document's place in its source is a hash of its id, so that source blocks
 (ranges of places) are random samples. Target weights, capped at ``most_repeats``
 times a source's size, say how often a source is drawn: whole passes over all
 its blocks, then the documents up to a threshold place, found by three ever
-finer sums (1/1024 of a source, 1/1024 of that, its documents). The drawn
+finer sums (1/1024 of a source, 1/1024 of that, its documents), and of the next
+256 documents those that fill the remainder. The drawn
 blocks are the quotas that the tree splits among the output shards, exactly and
 without replacement: each node deals a multivariate-hypergeometric sample to
 its left half. A shard takes its quota as the next blocks of each source's
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import word_count
+from mercato.llm.common import apart, word_count
 
 FINE = 10  # bits of a block number; two levels of blocks
 KEY_BITS = 63
@@ -126,12 +127,44 @@ def _thresholds(placed: DataFrame, sources: list[Source], sums: dict, few: str)
     if deep:
         rows = near(inner, deep, "_inner")
         run = F.sum("size").over(Window.partitionBy("source").orderBy("_key"))  # a millionth of a source
-        rows = rows.withColumn("_run", run).where(F.col("_run") - F.col("size") / 2 <= F.col("_left"))
+        rows = rows.withColumn("_run", run).where(F.col("_run") <= F.col("_left"))
         for r in rows.groupBy("source").agg(F.max("_key").alias("k")).collect():
             result[number[r["source"]]] = r["k"]
     return result
 
 
+def _fillers(placed: DataFrame, sources: list[Source], limits: list[int], few: str, most: int = 256) -> dict[int, set[int]]:
+    """For each source, places beyond its limit whose documents fill what the limit leaves of its target.
+
+    Of the next ``most`` documents (which bounds what the driver gets) those that
+    still fit are taken in order of place; then one more, if it brings the sum nearer.
+    """
+    table = placed.sparkSession.createDataFrame(
+        [(s.name, k, limit) for k, (s, limit) in enumerate(zip(sources, limits)) if s.extra > 0], f"_source {few}, _number int, _limit long")
+    rows = placed.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source")))
+    drawn = {r["_number"]: r["n"] for r in rows.where("_key <= _limit").groupBy("_number").agg(F.sum("size").alias("n")).collect()}
+    order = F.row_number().over(Window.partitionBy("_number").orderBy("_key"))
+    found: dict[int, dict[int, int]] = {}
+    for r in (rows.where("_key > _limit AND size > 0").select("_number", "_key", "size", order.alias("_r")).where(F.col("_r") <= most)
+              .orderBy("_number", "_key").collect()):
+        cells = found.setdefault(r["_number"], {})
+        cells[r["_key"]] = cells.get(r["_key"], 0) + r["size"]
+    out: dict[int, set[int]] = {}
+    for k, cells in found.items():
+        if len(cells) == most:
+            cells.popitem()  # rows that share the last place may be missing
+        need, taken = sources[k].extra - drawn.get(k, 0), set()
+        for key, size in cells.items():
+            if size <= need:
+                taken.add(key)
+                need -= size
+        rest = {key: size for key, size in cells.items() if key not in taken and abs(need - size) < need}
+        if rest:
+            taken.add(min(rest, key=lambda key: abs(need - rest[key])))
+        out[k] = taken
+    return out
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most_repeats: int = 3, shards: int = 32,
         seed: int = 20) -> tuple[DataFrame, DataFrame]:
     """The mix, and the table of its sources (``source``, ``source_size``, ``target``).
@@ -141,7 +174,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most_repeats: i
     ``place``; it lies in shards, each in the order of ``place``.
     """
     spark = docs.sparkSession
-    docs = docs.drop("copy", "shard", "place")
+    docs, named_back = apart(docs.drop("copy", "shard", "place"), "_key", "_block", "_source", "_number", "_passes", "_limit", "_filler")
     if "size" not in docs.columns:
         docs = docs.withColumn("size", word_count(F.col("text")))
     placed = _placed(docs, seed)
@@ -151,13 +184,15 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most_repeats: i
         sums.setdefault(r["source"], {})[r["_block"]] = r["n"]
     sources = targets({s: sum(cells.values()) for s, cells in sums.items()}, weights, most_repeats)
     limits = _thresholds(placed, sources, sums, few)
+    fillers = _fillers(placed, sources, limits, few)
 
     # every drawn block of a source is one unit of its quota; the last pass ends within a block
     units = []
-    for s, limit in zip(sources, limits):
+    for k, (s, limit) in enumerate(zip(sources, limits)):
         blocks = sorted(sums[s.name])
+        beyond = {key >> (KEY_BITS - FINE) for key in fillers.get(k, ())}
         units.append([(c, b) for c in range(s.passes) for b in blocks]
-                     + [(s.passes, b) for b in blocks if (b << (KEY_BITS - FINE)) <= limit])
+                     + [(s.passes, b) for b in blocks if (b << (KEY_BITS - FINE)) <= limit or b in beyond])
     quota = split_tree(np.array([len(u) for u in units], np.int64), shards, seed) if units else np.zeros((shards, 0), np.int64)
     dealt = []
     for k, u in enumerate(units):
@@ -171,11 +206,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most_repeats: i
     owners = spark.createDataFrame(dealt, "_number int, copy int, _block int, shard int")
     known = table.select(F.col("source").alias("_source"), "_number", "_passes", "_limit")
     rows = placed.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("_source")))  # a row for each source
-    times = F.col("_passes") + (F.col("_key") <= F.col("_limit")).cast("int")
+    extra = spark.createDataFrame([(k, key) for k, keys in fillers.items() for key in keys], "_number int, _key long")
+    rows = rows.join(F.broadcast(extra.withColumn("_filler", F.lit(True))), ["_number", "_key"], "left")  # 256 rows a source at most
+    times = F.col("_passes") + ((F.col("_key") <= F.col("_limit")) | F.col("_filler").isNotNull()).cast("int")
     rows = rows.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), times - 1)))
     if len(dealt) <= 1_000_000:  # else both sides are shuffled
         owners = F.broadcast(owners)
     rows = rows.join(owners, ["_number", "copy", "_block"])
     rows = rows.withColumn("place", F.xxhash64(F.lit(seed + 1), "_key", "copy"))
     mixed = rows.repartition(shards, "shard").sortWithinPartitions("shard", "place")
-    return mixed.select(*docs.columns, "copy", "shard", "place"), table.select("source", "source_size", "target")
+    return named_back(mixed.select(*docs.columns, "copy", "shard", "place")), table.select("source", "source_size", "target")

@@ -20,7 +20,7 @@ from math import log
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import words_column
+from mercato.llm.common import apart, words_column
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
@@ -66,7 +66,8 @@ def rules(docs: DataFrame, model: list[int], cut: float = -0.08, min_words: int
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     made = [*BASE_COLUMNS, "ratio", "kept"]
-    w = docs.drop(*made).withColumn("_w", words_column(F.col("text")))
+    docs, named_back = apart(docs.drop(*made), "_w", "_bits", "_s", "_p", "_l")
+    w = docs.withColumn("_w", words_column(F.col("text")))
     w = w.withColumn("_bits", F.length(F.bin(F.size("_w"))))
     w = w.withColumn("_s", F.expr("""
         CASE WHEN size(_w) < 3 THEN cast(array() AS array<bigint>)
@@ -94,4 +95,4 @@ def rules(docs: DataFrame, model: list[int], cut: float = -0.08, min_words: int
     })
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     w = w.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("ratio") >= cut))
-    return w.drop("_w", "_bits", "_s", "_p", "_l")
+    return named_back(w.drop("_w", "_bits", "_s", "_p", "_l"))

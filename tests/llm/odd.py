@@ -3,7 +3,7 @@
 import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score string, size long, kept string, "
-          "component string, copy string, _w string")
+          "component string, copy string, _w string, _letter string, _found string, _key string")
 
 
 def words(seed: int, n: int) -> str:
@@ -25,7 +25,7 @@ def texts() -> dict:
 
 def documents(spark, rows=None):
     rows = texts() if rows is None else rows
-    data = [(k, t, ("en" if k % 3 else "de") if k != 16 else None, f"s{k % 2}" if k % 5 else None, len(t or ""), "x", None, "k", "c", "y", "w")
+    data = [(k, t, ("en" if k % 3 else "de") if k != 16 else None, f"s{k % 2}" if k % 5 else None, len(t or ""), "x", None, "k", "c", "y", "w", "l", "f", "q")
             for k, t in rows.items()]
     return spark.createDataFrame(data, SCHEMA).drop("size") if rows else spark.createDataFrame([], SCHEMA).drop("size")
 
