@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import mix64, prefix_hash, row_slices, span_hash, text_bytes, with_arrow_columns, written
+from mercato.llm.common import apart, mix64, prefix_hash, row_slices, span_hash, text_bytes, with_arrow_columns, written
 
 REACH = 300
 SHALLOW = 16
@@ -316,6 +316,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = 20_000) -> Da
                                           (F.col("after") + length).cast("long").alias("far_right"))
     all_reaches = (few.unionByName(many).unionByName(copies).groupBy("core", "context")
                    .agg(F.max("far_left").alias("far_left"), F.max("far_right").alias("far_right")))
+    all_reaches = written(all_reaches, "reaches")  # both sides of the join are dealt anew, so a hot context is split
     return (found.join(all_reaches, ["core", "context"])
             .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
                 (F.col("anchor") - F.col("far_left")).alias("start"), (F.col("anchor") + F.col("far_right")).alias("stop")))).alias("spans")))
@@ -327,6 +328,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000, as_te
     ``as_text``: ``kept`` is a string; characters that a cut has left in part are left out.
     """
     docs = docs.drop("spans", "n_bytes", "n_removed", "kept", "kept_sha256")
+    docs, named_back = apart(docs, "_id", "_found")
     marked = docs.join(repeated_spans(docs, length, most).withColumnsRenamed({"doc_id": "_id", "spans": "_found"}), F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     def make(batch):
@@ -347,6 +349,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000, as_te
         return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(merged, pa.list_(pa.list_(pa.int64()))),
                 pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
                 pa.array(sha, pa.string())]
-    return with_arrow_columns(
+    return named_back(with_arrow_columns(
         marked, make, "n_bytes long, n_removed long, spans array<array<long>>, "
-        f"kept {'string' if as_text else 'binary'}, kept_sha256 string").drop("_found")
+        f"kept {'string' if as_text else 'binary'}, kept_sha256 string").drop("_found"))
