@@ -10,9 +10,10 @@ pair is bounded from above: a parity bitmap as wide as the set is large gives at
 least popcount(xor) shingles in which the sets differ. Pairs that the bound lets
 through are verified by intersecting the sorted shingle arrays of the texts.
 
-A first round over four minimum hashes links most members of large groups of
-near copies, one verified link for each; then tiles need only pairs between
-different components, so a group of m near copies does not cost m^2.
+A first round over eight minimum hashes links most members of large groups of
+near copies: one verified link for each, then the pairs that minimum hashes
+brought together and that are still in different components. Tiles need only
+pairs between different components, so a group of m near copies does not cost m^2.
 
 Defined results: NULL, empty and blank texts have 0 shingles and link with
 nothing; fewer words than a shingle give one shingle, the whole sequence. A
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import (components, lower_table, mix64, prefix_hash, row_slices, shared_path, span_hash,
+from mercato.llm.common import (between, components, lower_table, merged, mix64, prefix_hash, row_slices, shared_path, span_hash,
                                 text_bytes, word_spans, written)
 
 WORDS = 5
@@ -105,7 +106,7 @@ def _shingles(batches):
 
 
 def _signatures(batches):
-    seeds = (np.arange(4, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x51_7C_C1_B7_27_22_0A_95)
+    seeds = (np.arange(8, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x51_7C_C1_B7_27_22_0A_95)
     for batch in batches:
         ids, sets = _rows(batch)
         keys = [[int(mix64(s ^ seed).min().astype(np.int64)) for seed in seeds] for s in sets]
@@ -115,7 +116,7 @@ def _signatures(batches):
 
 
 def _near(percent: int):
-    """Sorted (key, n, rep, bits) -> each with its key's first (v of 1 or more) or else its neighbour, if the bound allows it."""
+    """Sorted (key, n, rep, bits) -> pairs with the key's first (v of 1 or more) and with the neighbour, if the bound allows them."""
     def run(batches):
         first = last = None
         for batch in batches:
@@ -124,13 +125,12 @@ def _near(percent: int):
                 if last is None or last[0] != key:
                     first = last = (key, n, rep, bits)
                     continue
-                for place, other in ((1.0, first), (0.0, last)):
+                for other in {first[2]: first, last[2]: last}.values():
                     least = need(other[1], n, percent)
                     if other[2] != rep and other[1] >= least:
                         most = overlap_bound(other[3], bits, other[1], n)
                         if most >= least:
-                            found.append((other[2], rep, place + most / (2 * (other[1] + n))))
-                            break
+                            found.append((other[2], rep, (other is first) + most / (2 * (other[1] + n))))
                 last = (key, n, rep, bits)
             a, b, v = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(v, pa.float64())], names=["a", "b", "v"])
@@ -274,11 +274,11 @@ def jaccard_components(docs: DataFrame, percent: int = 75, sample_percent: int =
         return both.mapInArrow(_verified(percent), "a long, b long")
 
     # first round: one link for each class that a minimum hash brings next to a similar one
-    near = (signed.select(F.explode("keys").alias("key"), "n", "rep", "bits").repartition("key")
-            .sortWithinPartitions("key", "n", "rep").mapInArrow(_near(percent), "a long, b long, v double"))
+    near = written(signed.select(F.explode("keys").alias("key"), "n", "rep", "bits").repartition("key")
+            .sortWithinPartitions("key", "n", "rep").mapInArrow(_near(percent), "a long, b long, v double").groupBy("a", "b").agg(F.max("v").alias("v")), "near")
     best = near.groupBy("b").agg(F.max_by("a", F.struct("v", -F.col("a"))).alias("a")).select("a", "b")
-    links = written(verify(best), "links")
-    labels = components(links)
+    labels = components(verify(best))
+    labels = merged(labels, written(verify(between(near, labels).select("a", "b")), "links"))  # the other pairs, if still apart
 
     # second round: tiles of prefix shingles, pairs between components only
     sampled = reps.where(F.pmod(F.xxhash64("doc_id"), F.lit(100)) < sample_percent)
@@ -296,8 +296,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, sample_percent: int =
     bounded = (pairs.join(sig.withColumnsRenamed({"rep": "a"}), "a")
                .join(sig.withColumnsRenamed({"rep": "b", "n": "m", "bits": "more"}), "b")
                .select("a", "b", "n", "bits", "m", "more").mapInArrow(_bounded(percent), "a long, b long"))
-    more = written(verify(written(bounded, "pairs")), "links")
-    final = components(links.unionByName(more))
+    final = merged(labels, written(verify(written(bounded, "pairs")), "links"))
 
     named = ids.join(final, ids["rep"] == final["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
