@@ -40,26 +40,57 @@ LETTER, DIGIT = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\s{LETTER}{DIGIT}]+|\s+(?!\S)|\s+"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The vocabulary's letter for each byte: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
+
 class Encoder:
-    """Ids of texts by ``tokenizers``; the ids of words that recur are remembered, up to ``most`` words."""
+    """Ids of texts by ``tokenizers``. Words that recur are looked up in a table of up to about ``most`` words."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.most, self.known = most, {}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.plain, self.split = re.compile(PLAIN), re.compile(SPLIT)
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.first, self.ids, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.int32), 0
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds words' ids to the table: ``ids[first[k]:first[k + 1]]`` for word number k."""
+        token, letters = self.model.tokenize, self.letters
+        found = [[t.id for t in token(w.encode().decode("latin-1").translate(letters))] for w in words]
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.first = np.append(self.first, self.used + np.cumsum([len(f) for f in found]))
+        self.used += len(flat)
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.split.findall(t) if self.plain.fullmatch(t) else None for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = list(set().union(*(p for p in parts if p)).difference(self.known))
-        self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False))))
+        if len(self.number) > self.most:
+            self._clear()
+        new = set().union(*(p for p in parts if p)).difference(self.number)
+        if new:
+            self._learn(list(new))
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(p for p in parts if p)), np.int64)
+        length = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(length)
+        flat = self.ids[np.repeat(self.first[at] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.append(0, ends)[np.append(0, np.cumsum([len(p) for p in parts if p is not None])).astype(np.int64)]
+        known = iter([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
         whole = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, parts) if p is None], add_special_tokens=False))
-        get = self.known.__getitem__
-        return [np.array(next(whole).ids if p is None else list(chain.from_iterable(map(get, p))), np.int32) for p in parts]
+        return [np.array(next(whole).ids, np.int32) if p is None else next(known) for p in parts]
 
 
 class Packer:
