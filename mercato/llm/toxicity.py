@@ -316,7 +316,7 @@ def document_logits(net: Net, data: np.ndarray, off: np.ndarray, width: int, str
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 2_000, width: int = 32, stride: int = 16, epochs: int = 8) -> Net:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1_000, width: int = 32, stride: int = 16, epochs: int = 6) -> Net:
     """Learns from at most ``most`` labelled documents (the documented bound), half of them toxic where there are so many."""
     share = labels.where("toxic IS NOT NULL").agg(F.avg(F.col("toxic").cast("int"))).first()[0]
     got = (labelled_sample(docs, labels, "toxic", most, balance=True).where("text IS NOT NULL")
