@@ -71,7 +71,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, segm
         probes = left.select("query_id", "query", F.posexplode("query").alias("segment", "_value"))
         probes = probes.withColumn("_flip", F.explode(_flips(segment_bits, radius)))
         probes = probes.select("query_id", "query", "segment", F.col("_value").bitwiseXOR(F.col("_flip")).alias("value"))
-        met = (probes.join(index, ["segment", "value"])
+        # probes are many times what Spark estimates from the queries: both sides are shuffled, none is broadcast
+        met = (probes.hint("merge").join(index.hint("merge"), ["segment", "value"])
                .select("query_id", distance(F.col("query"), F.col("code")).alias("distance"), F.explode("ids").alias("id"))
                .where("id <> query_id"))
         found = met if best is None else met.unionByName(best.select("query_id", "distance", "id"))
