@@ -297,6 +297,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, sample_percent: int =
                .join(sig.withColumnsRenamed({"rep": "b", "n": "m", "bits": "more"}), "b")
                .select("a", "b", "n", "bits", "m", "more").mapInArrow(_bounded(percent), "a long, b long"))
     final = merged(labels, written(verify(written(bounded, "pairs")), "links"))
+    spark.sql(f"DROP TABLE {name}")  # its files stay in the shared folder
 
     named = ids.join(final, ids["rep"] == final["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
