@@ -1,10 +1,12 @@
 """Quality rules: fixed base rules, then a hashed n-gram log-likelihood ratio of trusted against raw text.
 
-Unigrams and bigrams of words are hashed to ``buckets`` counters. Two
-multinomials with add-``smoothing`` estimates, one of trusted documents and one
-of the whole corpus, give each bucket a log ratio; a document's ratio is the
-mean over its n-grams, and one fixed cut decides every document. All of it is
-DataFrame functions: two scans, no shuffle of texts, no Python on executors.
+Unigrams and bigrams of words are hashed to ``buckets`` counters, one for about
+a kilobyte of the corpus. Two multinomials with add-``smoothing`` estimates, one
+of all trusted documents and one of the whole corpus, give each bucket a log
+ratio; a document's ratio is the mean over its n-grams, and one fixed cut
+decides every document. What scoring gathers grows with the corpus: one row a
+bucket, as an array literal. All of it is DataFrame functions: scans, no shuffle
+of n-grams, no Python on executors.
 
 Defined results: NULL, empty or blank text has no words, fails the base rules
 and gets ratio 0. Without trusted rows the ratio is 0 for all, so that the base
@@ -17,10 +19,11 @@ from __future__ import annotations
 
 from math import log
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import apart, words_column
+from mercato.llm.common import apart, words_column, written
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
@@ -33,30 +36,43 @@ def _grams(buckets: int):
     return F.transform("_w", gram)
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, smoothing: float = 1.0,
-        most_trusted: int = 20_000) -> list[int]:
-    """The log ratio of each bucket, in hundredths of a nat.
+def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """(id, raw, trusted): n-grams of all documents and of all those labelled good, by bucket; a written table.
 
-    Raw counts are of all documents. Trusted are documents labelled good; at
-    most ``most_trusted`` of them are used, those with the smallest id hash.
-    The driver gets one row per bucket at most.
+    The trusted ids are a written table too, so that AQE knows its size and can split a hot id (NULL).
     """
-    ids = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_trusted).withColumn("_trusted", F.lit(True)))
-    grams = (docs.select("doc_id", words_column(F.col("text")).alias("_w")).join(F.broadcast(ids), "doc_id", "left")
+    ids = written(labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+                  .withColumn("_trusted", F.lit(True)), "trusted")
+    grams = (docs.select("doc_id", "text").join(ids, "doc_id", "left").select("_trusted", words_column(F.col("text")).alias("_w"))
              .select("_trusted", F.explode(F.flatten(_grams(buckets))).alias("id")).where("id IS NOT NULL"))
-    counts = grams.groupBy("id").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted"))
-    raw, trusted = [smoothing] * buckets, [smoothing] * buckets
-    for b, r, t in counts.collect():
-        raw[b] += r
-        trusted[b] += t
-    if sum(trusted) == smoothing * buckets:
-        return [0] * buckets
-    shift = log(sum(raw) / sum(trusted))
-    return [round(100 * (log(t / r) + shift)) for t, r in zip(trusted, raw, strict=True)]
-
-
-def rules(docs: DataFrame, model: list[int], cut: float = -0.08, min_words: int = 50,
+    return written(grams.groupBy("id").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")), "grams")
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, smoothing: float = 1.0,
+        bucket_bytes: int = 1 << 10) -> np.ndarray:
+    """The log ratio of each bucket in hundredths of a nat, from all documents and all those labelled good.
+
+    Without ``buckets`` their number grows with the corpus: the power of two that
+    gives each ``bucket_bytes`` of text at most, and 2^15 at least.
+    """
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        buckets = 1 << max(15, (-(-size // bucket_bytes) - 1).bit_length())
+    counts = gram_counts(docs, labels, buckets)
+    raw, trusted = (n or 0 for n in counts.agg(F.sum("raw"), F.sum("trusted")).first())
+    if not trusted:
+        return np.zeros(buckets, np.int16)
+    shift = log((raw + smoothing * buckets) / (trusted + smoothing * buckets))
+    weight = F.bround(100 * (F.log((F.col("trusted") + smoothing) / (F.col("raw") + smoothing)) + shift)).cast("short")
+    model = np.full(buckets, round(100 * shift), np.int16)
+    lists = counts.groupBy(F.shiftright("id", 15).alias("part")).agg(F.sort_array(F.collect_list(F.struct("id", weight.alias("w")))).alias("l"))
+    got = written(lists.select(F.transform("l", lambda x: x["id"]).alias("id"), F.transform("l", lambda x: x["w"]).alias("w")), "ratios")
+    for batch in got.toArrow().to_batches():
+        model[batch.column(0).flatten().to_numpy()] = batch.column(1).flatten().to_numpy()
+    return model
+
+
+def rules(docs: DataFrame, model: np.ndarray | list[int], cut: float = -0.08, min_words: int = 50,
           max_repeat_percent: int = 50) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``ratio`` and ``kept``.
 

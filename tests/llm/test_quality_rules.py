@@ -1,8 +1,10 @@
+import math
 import random
 import re
 from collections import Counter
 
-from mercato.llm.quality_rules import fit, rules
+from mercato.llm.quality_rules import fit, gram_counts, rules
+from mercato.llm.queries import QUERIES
 
 from .odd import documents, texts, with_repeats
 
@@ -57,3 +59,37 @@ def test_no_python_in_plan(spark):
     docs = documents(spark)
     plan = rules(docs, [0] * 64)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_all_trusted_documents_are_counted(spark):
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 7, ' v') AS text")
+    counts = gram_counts(docs, docs.selectExpr("doc_id", "1 AS quality"), 1 << 10)
+    assert tuple(counts.agg({"raw": "sum", "trusted": "sum"}).first()) == (3 * n, 3 * n)
+
+
+def test_buckets_grow_with_the_corpus(spark):
+    r = random.Random(8)
+    rows = {k: " ".join(r.choice("abcdefgh") + str(r.randint(0, 30)) for _ in range(r.randint(1, 90))) for k in range(500)}
+    docs, good = documents(spark, rows), [k for k in rows if k % 3]
+    model = fit(docs, spark.createDataFrame([(k, 1) for k in good], LABELS), bucket_bytes=1)
+    assert len(model) >= sum(map(len, rows.values())) and len(model) > len(fit(docs, spark.createDataFrame([], LABELS)))
+
+    def grams(text):
+        w = text.split()
+        return [*w, *zip(w, w[1:])]
+    raw, trusted = Counter(g for t in rows.values() for g in grams(t)), Counter(g for k in good for g in grams(rows[k]))
+    shift = math.log((raw.total() + len(model)) / (trusted.total() + len(model)))
+    close = 0
+    for x in rules(docs, model).collect():
+        each = [math.log((trusted[g] + 1) / (raw[g] + 1)) + shift for g in grams(rows[x["doc_id"]])]
+        close += abs(x["ratio"] - sum(each) / len(each)) < 0.03
+    assert close > 475  # the others hold grams that share a bucket
+
+
+def test_kept_follows_the_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    got = QUERIES["op10_quality_rules"](spark, sf).join(labels, "doc_id").selectExpr("quality", "if(base_failed, NULL, int(kept)) AS kept")
+    share = {r[0]: r[1] for r in got.groupBy("quality").avg("kept").collect()}
+    assert share[1] > 0.99 and share[0] < 0.01
