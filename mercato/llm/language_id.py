@@ -117,7 +117,7 @@ def mixtures(scores: np.ndarray, first: np.ndarray, rounds: int = 6, penalty: fl
         better = worth - cost[active] > value[active]
         active, trial, got, worth = active[better], trial[better], got[better], worth[better]
         chosen[active], pi[active] = trial, got
-        value[active] = worth - cost[active]
+        value[active] = worth  # without penalty: each further language pays its own
     return pi
 
 

@@ -39,6 +39,17 @@ def test_mixtures_find_proportions_and_sets(spark):
     assert got[5]["lang_pred"] in model.languages
 
 
+def test_each_further_language_pays_its_penalty():
+    # 40 words each surely of language 0 or 1; language 2 is a little better on a few, by less than a penalty
+    scores = np.full((80, 4), -12, np.float32)
+    scores[:40, 0] = scores[40:, 1] = 0
+    scores[:6, 2] = scores[40:46, 2] = 1.5
+    got = L.mixtures(scores, np.array([0]))[0]
+    assert set(np.flatnonzero(got)) == {0, 1} and got[0] == pytest.approx(0.5, abs=0.02)
+    scores[:8, 2] = scores[40:48, 2] = 6  # worth its penalty
+    assert set(np.flatnonzero(L.mixtures(scores, np.array([0]))[0])) == {0, 1, 2}
+
+
 def test_word_likelihoods_match_a_loop():
     r = np.random.default_rng(0)
     table = r.normal(size=(1 << L.BITS, 3)).astype(np.float32)
