@@ -20,7 +20,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of one main language go on; without a letter, or with no language holding half of the words, they go.
+    """Documents with a known language go on, mixtures too; without a letter, or without any language, they go.
 
     The languages are learnt from the documents' own ``lang``. If no row has
     one, there is nothing to judge by, and every text with a letter stays.
@@ -28,7 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = fit(docs)
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select(*COLUMNS)
-    return detect(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select(*COLUMNS)
+    return detect(docs, model).where(F.col("lang_pred") != "und").select(*COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

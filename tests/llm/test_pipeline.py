@@ -1,6 +1,7 @@
 import corpus_pipeline as p
 
 from .odd import documents, texts, with_repeats, words
+from .test_classifiers import language_rows, mixed_words
 from .test_jaccard_join import brute
 from .test_suffix_dedup import brute as brute_repeats
 
@@ -49,3 +50,14 @@ def test_clean_documents_pass_the_filtering_stages(spark):
     for _, stage in p.STAGES[:3]:
         clean = stage(spark, clean, "")
     assert clean.count() == 30
+
+
+def test_language_stage_keeps_clean_mixtures(spark):
+    import pyspark.sql.functions as F
+    parts = {"even": (40, 40, 0), "three": (40, 35, 25)}
+    rows = {1000 + k: " ".join(mixed_words(2000 + 3 * k + j, a, n) for j, (a, n) in enumerate(zip(("abcde", "vwxyz", "mnopq"), p_)) if n)
+            for k, p_ in enumerate([*parts.values()] * 5)} | {2000: "12 34"}
+    plain = language_rows(spark).withColumns({"source": F.lit("s"), "n_chars": F.lit(1).cast("long")}).select(*p.COLUMNS)
+    mixtures = documents(spark, rows).select(*p.COLUMNS).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in p.known_language(spark, plain.unionByName(mixtures), "").select("doc_id").collect()}
+    assert kept == set(range(60)) | set(rows) - {2000}
