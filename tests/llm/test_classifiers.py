@@ -140,6 +140,12 @@ def test_toxicity_learns_words_by_their_characters(spark):
     assert T.score(documents(spark, {}), net).count() == 0
 
 
+def test_toxicity_learns_from_the_whole_bound():
+    import inspect
+    held = {k: v.default for k, v in inspect.signature(T.fit).parameters.items()}
+    assert held["most"] >= 2_000 and held["epochs"] >= 8
+
+
 def test_toxicity_without_two_classes(spark):
     docs, labels, _ = toxic_rows(spark, 10)
     for some in (labels.where("toxic = 1"), labels.where("false")):
