@@ -89,6 +89,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "ratio")
 
 
+def op11_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.exact_whitening import whiten
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from mercato.llm.token_alignment import align_documents
+    found, _ = align_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return found
+
+
+def op13_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mercato.llm.decontamination import contaminated
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixtures": op1_language_mixtures,
     "op2_recurrent_toxicity": op2_recurrent_toxicity,
@@ -100,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hamming_top_k": op8_hamming_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_exact_whitening": op11_exact_whitening,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_benchmark_index": op13_benchmark_index,
 }
 
 def _license_sql() -> str:
@@ -119,6 +143,26 @@ SELECT doc_id, license, n_shared, CAST(n_shared AS DOUBLE) / t AS containment
 FROM shared JOIN number USING (license) WHERE 100 * n_shared >= 75 * t"""
 
 
+#: All windows of a document, as text, against the items' windows of the same number of words.
+_LEAK_SQL = r"""
+WITH sized AS (SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+test AS (SELECT item_id, w, CAST(least(10, len(w)) AS BIGINT) AS k FROM (SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark) WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, CAST(len(w) - k + 2 AS BIGINT))]) AS s FROM test),
+places AS (SELECT r, k, unnest(range(1, CAST(greatest(len(w) - k + 2, 1) AS BIGINT))) AS i,
+    unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, CAST(greatest(len(w) - k + 2, 1) AS BIGINT))]) AS s
+  FROM sized, (SELECT DISTINCT k FROM test) WHERE len(w) > 0),
+found AS (SELECT r, i, k, item_id FROM places JOIN phrases USING (k, s)),
+hit AS (SELECT r, COUNT(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM found)) GROUP BY r),
+items AS (SELECT r, COUNT(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS named FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM sized LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
 #: DuckDB SQL where SQL expresses the operator.
 ORACLE_SQL: dict[str, str] = {
     "op6_license_scan": _license_sql(),
@@ -130,4 +174,5 @@ WITH pairs AS (
   WHERE q.vec_id % 100 = 0 AND q.embedding IS NOT NULL AND r.embedding IS NOT NULL)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
 FROM pairs QUALIFY rank <= 10""",
+    "op13_benchmark_index": _LEAK_SQL,
 }
