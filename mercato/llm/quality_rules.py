@@ -1,23 +1,30 @@
 """Quality rules: fixed base rules, then a hashed n-gram log-likelihood ratio of trusted against raw text.
 
-Unigrams and bigrams of words are hashed to ``buckets`` counters, one for about
-a kilobyte of the corpus. Two multinomials with add-``smoothing`` estimates, one
-of all trusted documents and one of the whole corpus, give each bucket a log
-ratio; a document's ratio is the mean over its n-grams, and one fixed cut
-decides every document. What scoring gathers grows with the corpus: one row a
-bucket, as an array literal. All of it is DataFrame functions: scans, no shuffle
-of n-grams, no Python on executors.
+Unigrams and bigrams of words are hashed to buckets. Two multinomials with
+add-``smoothing`` estimates, one of all trusted documents and one of the whole
+corpus, give each bucket a log ratio; a document's ratio is the mean over its
+n-grams, and one fixed cut decides every document.
+
+One scan counts both: a trusted id is a bit of a bitmap (a row for 32,768 ids,
+4 KB), and documents meet the bitmaps, not the ids, so no text is shuffled while
+the bitmaps stay below ``most_bitmaps`` (beyond, documents are shuffled by
+bitmap). Tasks add up their n-grams before the shuffle. Vocabularies grow about
+as the square root of the text, and so do the buckets: 4 sqrt(bytes), a power of
+two, 2^15 at least: 2^20 at 50 GB of text, 2^26 at 170 TB. That bounds the
+counts a task sends and the model, which scoring reads as one array literal of 2
+bytes a bucket. All of it is DataFrame functions, no Python on executors.
 
 Defined results: NULL, empty or blank text has no words, fails the base rules
 and gets ratio 0. Without trusted rows the ratio is 0 for all, so that the base
 rules alone decide; an empty table gives an empty result. Repeated rows are
-judged row by row; other input columns are carried along, and those with the
-name of a result are replaced.
+judged row by row, and each counts in the multinomials; an id labelled twice is
+trusted if one label is good. Other input columns are carried along, and those
+with the name of a result are replaced.
 """
 
 from __future__ import annotations
 
-from math import log
+from math import isqrt, log
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,28 +43,39 @@ def _grams(buckets: int):
     return F.transform("_w", gram)
 
 
-def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """(id, raw, trusted): n-grams of all documents and of all those labelled good, by bucket; a written table.
+def _bit(bitmap, place):
+    """Whether a bit of a bitmap (bytes, lowest bit first) is set; false for NULL."""
+    byte = F.conv(F.hex(F.substring(bitmap, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), place.bitwiseAND(7))), F.lit(2)) == 1, F.lit(False))
 
-    The trusted ids are a written table too, so that AQE knows its size and can split a hot id (NULL).
-    """
-    ids = written(labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-                  .withColumn("_trusted", F.lit(True)), "trusted")
-    grams = (docs.select("doc_id", "text").join(ids, "doc_id", "left").select("_trusted", words_column(F.col("text")).alias("_w"))
+
+def with_trusted(docs: DataFrame, labels: DataFrame, most_bitmaps: int = 1 << 14) -> DataFrame:
+    """``docs`` plus ``_trusted``: whether its id is labelled good. Bitmaps of ids up to ``most_bitmaps`` (64 MB) are broadcast."""
+    key = F.col("doc_id").cast("long")
+    good = labels.where((F.col("quality") == 1) & key.isNotNull())
+    bitmaps = written(good.groupBy(F.bitmap_bucket_number(key).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits")), "trusted")
+    side = F.broadcast(bitmaps) if bitmaps.count() <= most_bitmaps else bitmaps
+    flag = _bit(F.col("_bits"), F.bitmap_bit_position(key))
+    return (docs.withColumn("_own", F.bitmap_bucket_number(key)).join(side, F.col("_own") == F.col("_bucket"), "left")
+            .withColumn("_trusted", flag).drop("_own", "_bucket", "_bits"))
+
+
+def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int, **sizes) -> DataFrame:
+    """(id, raw, trusted): n-grams of all documents and of all those labelled good, by bucket; a written table."""
+    grams = (with_trusted(docs.select("doc_id", "text"), labels, **sizes).select("_trusted", words_column(F.col("text")).alias("_w"))
              .select("_trusted", F.explode(F.flatten(_grams(buckets))).alias("id")).where("id IS NOT NULL"))
-    return written(grams.groupBy("id").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")), "grams")
+    return written(grams.groupBy("id").agg(F.count(F.lit(1)).alias("raw"), F.count(F.when(F.col("_trusted"), 1)).alias("trusted")), "grams")
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, smoothing: float = 1.0,
-        bucket_bytes: int = 1 << 10) -> np.ndarray:
-    """The log ratio of each bucket in hundredths of a nat, from all documents and all those labelled good.
+def bucket_count(docs: DataFrame) -> int:
+    """4 sqrt(bytes of text), up to a power of two, 2^15 at least."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return 1 << max(15, (4 * isqrt(size) - 1).bit_length())
 
-    Without ``buckets`` their number grows with the corpus: the power of two that
-    gives each ``bucket_bytes`` of text at most, and 2^15 at least.
-    """
-    if buckets is None:
-        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-        buckets = 1 << max(15, (-(-size // bucket_bytes) - 1).bit_length())
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int | None = None, smoothing: float = 1.0) -> np.ndarray:
+    """The log ratio of each bucket in hundredths of a nat, from all documents and all those labelled good."""
+    buckets = buckets or bucket_count(docs)
     counts = gram_counts(docs, labels, buckets)
     raw, trusted = (n or 0 for n in counts.agg(F.sum("raw"), F.sum("trusted")).first())
     if not trusted:
@@ -76,24 +94,30 @@ def rules(docs: DataFrame, model: np.ndarray | list[int], cut: float = -0.08, mi
           max_repeat_percent: int = 50) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``ratio`` and ``kept``.
 
-    ``n_repeat_words`` sorts the hashes of the 3-word windows, each with its
-    place in the low bits (as many as the document's length needs), so that
-    equal windows are neighbours; no list is searched per word.
+    ``n_repeat_words`` sorts the 3-word windows by the high bits of their hashes,
+    each with its place in the low bits, so that equal windows are neighbours;
+    those that have such a neighbour are sorted again by their whole hashes.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     made = [*BASE_COLUMNS, "ratio", "kept"]
     docs, named_back = apart(docs.drop(*made), "_w", "_bits", "_s", "_p", "_l")
-    w = docs.withColumn("_w", words_column(F.col("text")))
+    # never deterministic to the optimiser: a filter on a result must not carry the splitting into the loops over its words
+    w = docs.withColumn("_w", F.when(F.monotonically_increasing_id() >= 0, words_column(F.col("text"))))
     w = w.withColumn("_bits", F.length(F.bin(F.size("_w"))))
     w = w.withColumn("_s", F.expr("""
         CASE WHEN size(_w) < 3 THEN cast(array() AS array<bigint>)
         ELSE sort_array(transform(slice(_w, 1, size(_w) - 2), (x, i) ->
           shiftleft(xxhash64(x, get(_w, i + 1), get(_w, i + 2)), _bits) | i)) END"""))
-    w = w.withColumn("_p", F.expr("""
+    w = w.withColumn("_s", F.expr("""
         sort_array(transform(filter(_s, (x, i) ->
             coalesce(shiftright(x, _bits) = shiftright(get(_s, i + 1), _bits), false)
             OR coalesce(shiftright(x, _bits) = shiftright(get(_s, i - 1), _bits), false)),
-          x -> x & (shiftleft(1L, _bits) - 1L)))"""))
+          x -> named_struct('h', xxhash64(get(_w, cast(x & (shiftleft(1L, _bits) - 1L) AS int)),
+              get(_w, cast(x & (shiftleft(1L, _bits) - 1L) AS int) + 1), get(_w, cast(x & (shiftleft(1L, _bits) - 1L) AS int) + 2)),
+            'p', x & (shiftleft(1L, _bits) - 1L))))"""))
+    w = w.withColumn("_p", F.expr("""
+        sort_array(transform(filter(_s, (x, i) ->
+            coalesce(x.h = get(_s, i + 1).h, false) OR coalesce(x.h = get(_s, i - 1).h, false)), x -> x.p))"""))
     w = w.withColumn("_l", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")  # folded to one literal
     w = w.withColumns({

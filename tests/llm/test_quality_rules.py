@@ -3,7 +3,7 @@ import random
 import re
 from collections import Counter
 
-from mercato.llm.quality_rules import fit, gram_counts, rules
+from mercato.llm.quality_rules import bucket_count, fit, gram_counts, rules, with_trusted
 from mercato.llm.queries import QUERIES
 
 from .odd import documents, texts, with_repeats
@@ -68,12 +68,32 @@ def test_all_trusted_documents_are_counted(spark):
     assert tuple(counts.agg({"raw": "sum", "trusted": "sum"}).first()) == (3 * n, 3 * n)
 
 
-def test_buckets_grow_with_the_corpus(spark):
+def test_repeats_of_a_million_words(spark):
+    r = random.Random(6)
+    words = [f"{r.randrange(150)}" for _ in range(1_000_000)]
+    out = rules(documents(spark, {1: " ".join(words)}), [0] * 64).first()
+    assert out["n_repeat_words"] == base(" ".join(words))[4]
+
+
+def test_trusted_bits_equal_the_labels(spark):
+    ids = [0, 1, 7, 8, 32767, 32768, 32769, 65536, -1, -5, 2 ** 40, None]
+    docs = spark.createDataFrame([(k, "x") for k in ids] + [(3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, q) for k, q in zip(ids, (1, 0, 1, 1, 1, 0, 1, 1, 1, 0, 1, 1))] + [(1, 1), (5, 1)], LABELS)
+    for most in (1 << 14, 0):  # broadcast, and shuffled
+        got = {r["doc_id"] for r in with_trusted(docs, labels, most_bitmaps=most).where("_trusted").collect()}
+        assert got == {0, 1, 7, 8, 32767, 32769, 65536, -1, 2 ** 40}
+
+
+def test_bucket_number_follows_the_square_root(spark):
+    docs = spark.range(130).selectExpr("id AS doc_id", "repeat('x', 1000000) AS text")
+    assert bucket_count(docs) == 1 << 16 and bucket_count(docs.limit(1)) == 1 << 15 == bucket_count(documents(spark, {}))
+
+
+def test_model_of_a_whole_corpus(spark):
     r = random.Random(8)
     rows = {k: " ".join(r.choice("abcdefgh") + str(r.randint(0, 30)) for _ in range(r.randint(1, 90))) for k in range(500)}
     docs, good = documents(spark, rows), [k for k in rows if k % 3]
-    model = fit(docs, spark.createDataFrame([(k, 1) for k in good], LABELS), bucket_bytes=1)
-    assert len(model) >= sum(map(len, rows.values())) and len(model) > len(fit(docs, spark.createDataFrame([], LABELS)))
+    model = fit(docs, spark.createDataFrame([(k, 1) for k in good], LABELS), buckets=1 << 17)
 
     def grams(text):
         w = text.split()
