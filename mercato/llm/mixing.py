@@ -1,6 +1,6 @@
 """Mixing sources to target weights: a multivariate-hypergeometric splitting tree over source blocks.
 
-A document's place in its source is a hash of its id, so that source blocks
+A document's place in its source is a hash of its id and text, so that source blocks
 (ranges of places) are random samples. Target weights, capped at ``most_repeats``
 times a source's size, say how often a source is drawn: whole passes over all
 its blocks, then the documents up to a threshold place, found by three ever
@@ -14,9 +14,9 @@ permutation and shuffles its rows by a hash. Only block sums and assignments
 few enough for that.
 
 Defined results: NULL, empty and blank texts have size 0 and are drawn like
-others of their source. A NULL source is a source, the last. A NULL id takes its
-place by its text; rows equal in id (and text) share a place and are drawn
-alike. An empty table gives an empty mix. Other columns are carried along;
+others of their source. A NULL source is a source, the last. Places are by id
+and text, so rows of a NULL or repeated id are drawn each by itself; rows equal
+in both share a place and are drawn alike. An empty table gives an empty mix. Other columns are carried along;
 those named as a result are replaced. Reruns agree (``seed``).
 """
 
@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import apart, word_count
+from mercato.llm.common import apart, word_count, written
 
 FINE = 10  # bits of a block number; two levels of blocks
 KEY_BITS = 63
@@ -82,9 +82,9 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _placed(docs: DataFrame, seed: int) -> DataFrame:
+def _placed(docs: DataFrame, seed: int, place_by: tuple[str, ...]) -> DataFrame:
     """``docs`` with ``_key``, the place in its source, and the number of its block."""
-    key = F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")) if "text" in docs.columns else F.lit(0))
+    key = F.xxhash64(F.lit(seed), *place_by)
     key = F.shiftrightunsigned(key, 64 - KEY_BITS)
     return docs.withColumn("_key", key).withColumn("_block", F.shiftrightunsigned("_key", KEY_BITS - FINE).cast("int"))
 
@@ -166,18 +166,20 @@ def _fillers(placed: DataFrame, sources: list[Source], limits: list[int], few: s
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most_repeats: int = 3, shards: int = 32,
-        seed: int = 20) -> tuple[DataFrame, DataFrame]:
+        seed: int = 20, place_by: tuple[str, ...] = ("doc_id", "text")) -> tuple[DataFrame, DataFrame]:
     """The mix, and the table of its sources (``source``, ``source_size``, ``target``).
 
     The mix has a row for each time a document is drawn: its columns, ``size``
     (words; a column of that name is taken as it is), ``copy``, ``shard`` and
-    ``place``; it lies in shards, each in the order of ``place``.
+    ``place``; it lies in shards, each in the order of ``place``. Places are a
+    hash of the columns ``place_by``. Without ``size`` the documents are written
+    with it once, so that later passes read no texts.
     """
     spark = docs.sparkSession
     docs, named_back = apart(docs.drop("copy", "shard", "place"), "_key", "_block", "_source", "_number", "_passes", "_limit", "_filler")
-    if "size" not in docs.columns:
-        docs = docs.withColumn("size", word_count(F.col("text")))
-    placed = _placed(docs, seed)
+    sized = "size" in docs.columns
+    docs = docs if sized else docs.withColumn("size", word_count(F.col("text")))
+    placed = _placed(docs, seed, place_by) if sized else written(_placed(docs, seed, place_by), "sized")
     few = docs.schema["source"].dataType.simpleString()
     sums: dict = {}
     for r in placed.groupBy("source", "_block").agg(F.sum("size").alias("n")).collect():  # 1024 rows a source at most

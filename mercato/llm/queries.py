@@ -36,7 +36,8 @@ def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from mercato.llm.packing import pack
-    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                  ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -49,12 +50,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercato.llm.mixing import mix
     docs = _table(spark, sf_dir, "documents")
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    mixed, sources = mix(sized)
-    taken = mixed.groupBy("doc_id").agg(F.sum("size").alias("taken"))
+    sized = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", F.xxhash64("text").alias("text_hash"),
+                                word_count(F.col("text")).alias("size")), "sizes")
+    mixed, sources = mix(sized, place_by=("doc_id", "text_hash"))
+    taken = mixed.groupBy("row").agg(F.sum("size").alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards"))  # 3 draws at most
     each = sized.join(F.broadcast(sources.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source")))
-    return (each.join(taken, "doc_id", "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+    return (each.join(taken, "row", "left")
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                    F.coalesce("shards", F.array().cast("array<int>")).alias("shards")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -62,6 +65,47 @@ def test_odd_inputs(spark):
         total + sum(len(texts()[k].split()) for k in (3, 4, 16)))
 
 
+def test_null_and_repeated_ids_are_drawn_row_by_row(spark, tmp_path):
+    rows = [(None, words(k, 300), "n") for k in range(60)] + [(7, words(100 + k, 200), "r") for k in range(60)] + [(k, words(300 + k, 100), "o") for k in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_source_mix"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    by = {s: [r for r in got if r["source_size"] == n] for s, n in (("n", 18_000), ("r", 12_000), ("o", 5_000))}
+    for rows in by.values():
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= rows[0]["size"]
+        assert all(r["taken"] == r["size"] * len(r["shards"]) and len(r["shards"]) <= 3 for r in rows)
+    assert len({r["taken"] for r in by["n"]}) == 2  # some of the rows without id once more than others
+
+
+def test_query_equals_a_plain_version(spark):
+    """Targets by hand, whole documents drawn to them, and the shards that the splitting tree deals."""
+    sf = "/root/testdata/sf0.01"
+    docs = [(r["doc_id"], r["source"], len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    sizes, names = Counter(), sorted({s for _, s, _ in docs if s is not None}) + [None] * any(s is None for _, s, _ in docs)
+    for _, s, n in docs:
+        sizes[s] += n
+    weight, target, left, free = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}, {}, sum(sizes.values()), set(names)
+    while True:
+        over = {s for s in free if weight[s] * left / sum(weight[x] for x in free) > 3 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 3.0 * sizes[s] for s in over}
+        left, free = left - sum(3 * sizes[s] for s in over), free - over
+    target |= {s: weight[s] * left / sum(weight[x] for x in free) for s in free}
+    source, size = {d: s for d, s, _ in docs}, {d: n for d, _, n in docs}
+    got = QUERIES["op5_source_mix"](spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(size)
+    taken, per_shard = Counter(), Counter()
+    for r in got:
+        s = source[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (size[r["doc_id"]], sizes[s]) and r["target"] == pytest.approx(target[s])
+        assert r["taken"] == r["size"] * len(r["shards"]) and len(r["shards"]) <= 3
+        taken[s] += r["taken"]
+        per_shard.update(r["shards"])
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] + 5 for s in names)
+    assert set(per_shard) == set(range(32)) and max(per_shard.values()) < 3 * min(per_shard.values())
+
+
 def test_query_over_the_table(spark):
     got = QUERIES["op5_source_mix"](spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r["taken"] <= 3 * r["size"] for r in got)
