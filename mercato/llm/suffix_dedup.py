@@ -24,9 +24,9 @@ same reach.
 Defined results: NULL and empty texts have no bytes and lose none; texts shorter
 than ``length`` neither. Matches never cross documents. Copies of a document
 lose everything that is ``length`` or longer, in each copy. Rows are told apart
-by id, so ids must be unique; rows with a NULL id are given back untouched and
-are not compared. Extra columns are carried along by ``remove_repeats``, those
-named as a result are replaced. Texts are read whole, in pieces of 1 MB.
+by two 64-bit hashes of id and text, so NULL and repeated ids are rows like
+others; rows equal in both are copies and share their spans. Extra columns are
+carried along by ``remove_repeats``, those named as a result are replaced. Texts are read whole, in pieces of 1 MB.
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ def runs(data: np.ndarray, off: np.ndarray, length: int) -> dict[str, np.ndarray
 
 
 def _runs(length: int, piece: int = 1 << 20):
-    names = ["doc_id", "core", "context", "first", "anchor", "last"]
+    names = ["row", "core", "context", "first", "anchor", "last"]
 
     def run(batches):
         for batch in batches:
@@ -237,7 +237,7 @@ def reaches(lefts: list[bytes], rights: list[bytes], length: int) -> tuple[np.nd
 
 
 def _contexts(length: int):
-    """(doc_id, text, list of runs) -> core, context, reversed left bytes, right bytes."""
+    """(row, text, list of runs) -> core, context, reversed left bytes, right bytes."""
     def run(batches):
         for batch in batches:
             for text, found in zip(batch.column(1), batch.column(2)):
@@ -288,22 +288,28 @@ def _windows(length: int):
 
 
 # ------------------------------------------------------------------ the operator
+def row_key():
+    """128 bits that tell rows of different id or text apart."""
+    return F.struct(*(F.xxhash64(F.lit(seed), "doc_id", "text").alias(name) for seed, name in ((1, "a"), (2, "b"))))
+
+
 def repeated_spans(docs: DataFrame, length: int = 400, most: int = 20_000) -> DataFrame:
-    """(doc_id, spans): for each document with repeats, their byte ranges (start, stop), which may overlap."""
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND octet_length(text) >= " + str(length))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = written(docs.mapInArrow(_runs(length), f"doc_id {kind}, core long, context long, first int, anchor int, last int"), "runs")
+    """(row, spans): for each row with repeats, its key (``row_key``) and byte ranges (start, stop), which may overlap."""
+    docs = docs.where("octet_length(text) >= " + str(length)).select(row_key().alias("row"), "text")
+    kind = docs.schema["row"].dataType.simpleString()
+    found = written(docs.mapInArrow(_runs(length), f"row {kind}, core long, context long, first int, anchor int, last int"), "runs")
     same = found.groupBy("core", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "anchor")).alias("at"),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "anchor")).alias("at"),
         F.min(F.col("anchor") - F.col("first")).alias("before"), F.min(F.col("last") - F.col("anchor")).alias("after"))
     by_core = Window.partitionBy("core")
     groups = same.withColumns({"kinds": F.count(F.lit(1)).over(by_core), "total": F.sum("n").over(by_core)})
-    groups = written(groups.where("total > 1").select("*", "at.doc_id", "at.anchor").drop("at", "total"), "cores")
+    groups = written(groups.where("total > 1").select("*", "at.row", "at.anchor").drop("at", "total"), "cores")
 
-    mixed = groups.where("kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct(
+    mixed = groups.where("kinds > 1").groupBy("row").agg(F.collect_list(F.struct(
         "core", "context", (F.col("kinds") > most).alias("many"), (F.col("anchor") - F.col("before")).alias("first"), "anchor",
         (F.col("anchor") + F.col("after")).alias("last"))).alias("runs"))
-    contexts = written(docs.join(mixed, "doc_id").select("doc_id", "text", "runs").mapInArrow(
+    one = docs.join(mixed, "row").groupBy("row").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))  # of copies, one
+    contexts = written(one.select("row", "text", "runs").mapInArrow(
         _contexts(length), "core long, context long, many boolean, left binary, right binary"), "contexts")
     reach = "core long, context long, far_left long, far_right long"
     few = (contexts.where("NOT many").drop("many").repartition("core").sortWithinPartitions("core", "context")
@@ -318,7 +324,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, most: int = 20_000) -> Da
                    .agg(F.max("far_left").alias("far_left"), F.max("far_right").alias("far_right")))
     all_reaches = written(all_reaches, "reaches")  # both sides of the join are dealt anew, so a hot context is split
     return (found.join(all_reaches, ["core", "context"])
-            .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
+            .groupBy("row").agg(F.array_sort(F.collect_set(F.struct(
                 (F.col("anchor") - F.col("far_left")).alias("start"), (F.col("anchor") + F.col("far_right")).alias("stop")))).alias("spans")))
 
 
@@ -328,8 +334,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, most: int = 20_000, as_te
     ``as_text``: ``kept`` is a string; characters that a cut has left in part are left out.
     """
     docs = docs.drop("spans", "n_bytes", "n_removed", "kept", "kept_sha256")
-    docs, named_back = apart(docs, "_id", "_found")
-    marked = docs.join(repeated_spans(docs, length, most).withColumnsRenamed({"doc_id": "_id", "spans": "_found"}), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    docs, named_back = apart(docs, "_row", "_own", "_found")
+    spans = repeated_spans(docs, length, most).withColumnsRenamed({"row": "_row", "spans": "_found"})
+    marked = docs.withColumn("_own", row_key()).join(spans, F.col("_own") == F.col("_row"), "left").drop("_own", "_row")
 
     def make(batch):
         texts, spans = (batch.column(batch.schema.get_field_index(k)) for k in ("text", "_found"))
