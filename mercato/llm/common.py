@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-import sys
 import tempfile
-import types
 import uuid
 from collections.abc import Iterator
 
@@ -61,13 +59,6 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
 
 
-# ------------------------------------------------------------------ per-process cache
-def worker_cache() -> dict:
-    """A dict that lives as long as this Python process (functions here are pickled by value, so globals do not)."""
-    holder = sys.modules.setdefault("_mercato_llm_cache", types.ModuleType("_mercato_llm_cache"))
-    return holder.__dict__.setdefault("values", {})
-
-
 # ------------------------------------------------------------------ Arrow batches as bytes
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow string array and the row offsets (rows + 1); NULL counts as empty."""
@@ -90,19 +81,14 @@ def row_slices(off: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B^0..B^n and B^-0..B^-n modulo 2^64, kept for the process."""
-    cache = worker_cache()
-    if "powers" not in cache or len(cache["powers"][0]) <= n:
-        size = max(1 << 16, 1 << int(n).bit_length())
-        out = []
-        for base in (BASE, _INV):
-            p = np.full(size + 1, base, np.uint64)
-            p[0] = 1
-            with np.errstate(over="ignore"):
-                out.append(np.multiply.accumulate(p))
-        cache["powers"] = tuple(out)
-    a, b = cache["powers"]
-    return a[:n + 1], b[:n + 1]
+    """B^0..B^n and B^-0..B^-n modulo 2^64; not kept, so that no worker holds them after its task."""
+    out = []
+    for base in (BASE, _INV):
+        p = np.full(n + 1, base, np.uint64)
+        p[0] = 1
+        with np.errstate(over="ignore"):
+            out.append(np.multiply.accumulate(p, out=p))
+    return tuple(out)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -113,20 +99,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums of byte polynomials: see ``span_hash``."""
-    pw, _ = powers(len(data))
+def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of byte polynomials and the inverse powers: see ``span_hash``."""
+    pw, inverse = powers(len(data))
     with np.errstate(over="ignore"):
         out = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * pw[:len(data)], out=out[1:])
-    return out
+    return out, inverse
 
 
-def span_hash(prefix: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+def span_hash(prefix: tuple[np.ndarray, np.ndarray], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Hash of the bytes lo..hi of the data behind ``prefix``, independent of where they stand."""
-    _, inv = powers(len(prefix) - 1)
+    sums, inverse = prefix
     with np.errstate(over="ignore"):
-        return mix64((prefix[hi] - prefix[lo]) * inv[lo] + (hi - lo).astype(np.uint64))
+        return mix64((sums[hi] - sums[lo]) * inverse[lo] + (hi - lo).astype(np.uint64))
 
 
 def lower_table() -> np.ndarray:
@@ -173,8 +159,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, b
     """(doc_id, text, label) of at most ``most`` labelled documents, those with the smallest id hashes.
 
     Rows without id or label are left out; an id labelled twice takes the larger
-    label. ``balance``: half of the sample for each label, as far as there are
-    so many. The ids are broadcast: ``most`` bounds them.
+    label; of rows that share an id one is taken, that of the least text hash, so
+    ``most`` bounds the rows too. ``balance``: half of the sample for each label,
+    as far as there are so many. The ids are broadcast: ``most`` bounds them.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id")
              .agg(F.max(F.col(label).cast("int")).alias("_label")))
@@ -184,7 +171,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, b
                .unionByName(known.where("_label = 0").orderBy(*order).limit(most // 2)))
     else:
         ids = known.orderBy(*order).limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return (rows.groupBy("doc_id").agg(F.min_by(F.struct("text", "_label"), F.struct(F.xxhash64("text"), "text")).alias("r"))
+            .select("doc_id", "r.text", "r._label"))
 
 
 # ------------------------------------------------------------------ connected components

@@ -164,10 +164,10 @@ def fit(docs: DataFrame, per_language: int = 4_000, smoothing: float = 0.5) -> L
 
 def detect(docs: DataFrame, model: LanguageModel, rounds: int = 6, penalty: float = 1.0) -> DataFrame:
     """``docs`` plus ``lang_pred``, ``score`` (that language's proportion) and ``languages`` (proportions by language)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 256 kB a language, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table))  # plain values; 256 kB a language, whatever the corpus
 
     def make(batch):
-        model = shared.value
+        model = LanguageModel(*shared.value)
         n = batch.num_rows
         letters = batch.column(batch.schema.get_field_index("_letter")).to_numpy(zero_copy_only=False)
         data, off = text_bytes(batch.column(batch.schema.get_field_index("text")))

@@ -155,10 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 8_000, smoothing: float
 
 def score(docs: DataFrame, model: MarginModel, threshold: float = 0.3) -> DataFrame:
     """``docs`` plus ``score`` and ``predicted`` (1 if the score reaches ``threshold``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two tables of 2^18 numbers
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain values: two tables of 2^18 numbers
 
     def make(batch):
-        m = shared.value
+        m = MarginModel(**shared.value)
         data, off = text_bytes(batch.column(batch.schema.get_field_index("text")))
         margin = np.full(batch.num_rows, m.bias)
         for lo, hi in row_slices(off):

@@ -342,10 +342,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 2_000, width: int = 32,
 
 def score(docs: DataFrame, net: Net, width: int = 32, stride: int = 16) -> DataFrame:
     """``docs`` plus ``score`` and ``predicted`` (1 if the score reaches a half)."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # 2 MB, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast(vars(net))  # plain arrays and numbers; 2 MB, whatever the corpus
 
     def make(batch):
-        net = shared.value
+        net = Net(**shared.value)
         data, off = text_bytes(batch.column(batch.schema.get_field_index("text")))
         logits = np.full(batch.num_rows, -np.inf)
         for lo, hi in row_slices(off, 1 << 22):
