@@ -11,15 +11,13 @@ in ``merge`` tasks is padded. Pieces are written once to the shared folder.
 Defined results: a NULL or empty text is the single end id. Repeated rows are
 packed row by row, NULL ids too; ties go to the sequence opened first. An empty
 table gives no piece. Other columns are not carried (pieces have their own).
-A text is tokenised whole, however long, and cut into pieces of ``size``.
+A text is tokenised whole, however long, and cut into pieces of ``size``. The
+vocabulary's added tokens keep their ids where a text holds their strings.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,70 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import row_slices, text_bytes, worker_cache, written
+from mercato.llm.common import row_slices, text_bytes, written
+from mercato.llm.vocabularies import ByteBpe, in_process
 
 PIECES = ("doc_id {id}, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, open boolean")
 #: Sequences of merged leftovers are numbered from here.
 MERGED = 1 << 62
-#: Characters of which every class is the same in all Unicode versions; other texts take the tokenizer's own splitting.
-PLAIN = r"[\t\n\r -~À-ÖØ-öø-ɏ]*"
-LETTER, DIGIT = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9"
-#: The byte-level splitting rule of the vocabulary, over those characters (fixed values).
-SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\s{LETTER}{DIGIT}]+|\s+(?!\S)|\s+"
-
-
-def _byte_letters() -> dict[int, str]:
-    """The vocabulary's letter for each byte: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
-
-
-class Encoder:
-    """Ids of texts by ``tokenizers``. Words that recur are looked up in a table of up to about ``most`` words."""
-
-    def __init__(self, path: str, most: int = 600_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.plain, self.split = re.compile(PLAIN), re.compile(SPLIT)
-        self.most = most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.first, self.ids, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.int32), 0
-
-    def _learn(self, words: list[str]) -> None:
-        """Adds words' ids to the table: ``ids[first[k]:first[k + 1]]`` for word number k."""
-        token, letters = self.model.tokenize, self.letters
-        found = [[t.id for t in token(w.encode().decode("latin-1").translate(letters))] for w in words]
-        flat = np.fromiter(chain.from_iterable(found), np.int32)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.first = np.append(self.first, self.used + np.cumsum([len(f) for f in found]))
-        self.used += len(flat)
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.split.findall(t) if self.plain.fullmatch(t) else None for t in texts]
-        if len(self.number) > self.most:
-            self._clear()
-        new = set().union(*(p for p in parts if p)).difference(self.number)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(p for p in parts if p)), np.int64)
-        length = self.first[at + 1] - self.first[at]
-        ends = np.cumsum(length)
-        flat = self.ids[np.repeat(self.first[at] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.append(0, ends)[np.append(0, np.cumsum([len(p) for p in parts if p is not None])).astype(np.int64)]
-        known = iter([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
-        whole = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, parts) if p is None], add_special_tokens=False))
-        return [np.array(next(whole).ids, np.int32) if p is None else next(known) for p in parts]
 
 
 class Packer:
@@ -163,26 +104,26 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048, space: int = 16, end: int = 1, merge: int = 64,
-         flush: int = 1 << 20) -> DataFrame:
+         flush: int = 1 << 20, ranks: str | None = None) -> DataFrame:
     """One row per piece: ``doc_id``, ``start`` and ``length`` in its document's ids, ``ids`` and their crc32,
-    ``doc_tokens``, ``sequence_id`` and ``offset`` there. ``tokenizer`` is the path of a vocabulary file on the workers."""
+    ``doc_tokens``, ``sequence_id`` and ``offset`` there. ``tokenizer`` is the path of a vocabulary file on the workers;
+    ``ranks``, of the same vocabulary in the form that is read faster (the ids are the same)."""
     kind = docs.schema["doc_id"].dataType
     ddl = PIECES.format(id=kind.simpleString())
     names = [part.split()[0] for part in ddl.split(", ")]
 
     def first_round(batches):
-        cache = worker_cache()
-        encode = cache.get(tokenizer) or cache.setdefault(tokenizer, Encoder(tokenizer))
+        encode = in_process(ByteBpe, tokenizer, ranks, False)
         packer = Packer(size, space, TaskContext.get().partitionId() << 32)
         id_type = None
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             id_type = ids.type
             _, off = text_bytes(texts)
-            for lo, hi in row_slices(off):
+            for lo, hi in row_slices(off, 1 << 20):
                 found = encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
                 for doc, x in zip(ids.slice(lo, hi - lo).to_pylist(), found):
-                    x = np.append(x, np.int32(end))
+                    x = np.array([*x, end], np.int32)
                     packer.place(doc, 0, x, len(x))
                 if packer.tokens > flush:
                     yield packer.take(names, id_type)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.common import mix64, row_slices, text_bytes, written
-from mercato.llm.vocabularies import ByteBpe, Pieces
+from mercato.llm.vocabularies import ByteBpe, Pieces, in_process
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -184,7 +184,7 @@ def _listed(x, kind=None) -> pa.ListArray:
 def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_bytes: int, memo_bytes: int, names: list[str],
              chunk: int = 1 << 19):
     def run(batches):
-        one, two = ByteBpe(vocabulary_a, ranks_a), Pieces(vocabulary_b)
+        one, two = in_process(ByteBpe, vocabulary_a, ranks_a), in_process(Pieces, vocabulary_b)
         known = Aligner(one.token_bytes(), two.token_bytes(), memo_bytes)
         number = TaskContext.get().partitionId() << 32
         for batch in pieces(batches):
@@ -266,17 +266,15 @@ def _summed(batches):
             times, pairs = number["times"].astype(np.int64), number["pairs"]
             doc = np.repeat(np.arange(len(number["n_windows"])), number["n_windows"])
             out = []
-            for value in (best.astype(np.int64), count):
-                each, total = np.zeros(len(number["n_pairs"]), np.int64), np.zeros(len(number["n_windows"]), np.int64)
-                np.add.at(each, window, times * value[pairs])
-                np.add.at(total, doc, each[number["windows"]])
-                out.append(pa.array(total))
+            for value in (best.astype(np.int64), count):  # sums in doubles: exact below 2^53
+                each = np.bincount(window, times * value[pairs], len(number["n_pairs"]))
+                out.append(pa.array(np.bincount(doc, each[number["windows"]], len(number["n_windows"])).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [row["doc_id"], *(row[c].cast(pa.int64()) for c in COUNTS), *out, row["groups_sha256"]],
                 names=["doc_id", *COUNTS, "n_best", "count_sum", "groups_sha256"])
 
 
-def link_bundles(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, ranks_a: str | None = None, bundle_bytes: int = 1 << 23,
+def link_bundles(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, ranks_a: str | None = None, bundle_bytes: int = 1 << 22,
                  memo_bytes: int = 96 << 20) -> DataFrame:
     """The documents' aligned bundles, written: see ``BUNDLE``. The vocabularies are paths on the workers."""
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import os
 import re
+import sys
+import types
 
 #: Characters whose class is the same in all Unicode versions; texts with others take the first library's own splitting.
 PLAIN = r"[\t\n\r -~À-ÖØ-öø-ɏ]*"
@@ -17,6 +19,17 @@ def byte_letters() -> dict[str, int]:
     return {chr(b) if b in shown else chr(256 + hidden.index(b)): b for b in range(256)}
 
 
+def in_process(kind, *args):
+    """One vocabulary for each Python worker (about 60 MB with both libraries' forms, and it does not grow with the texts):
+    the libraries do not give all their memory back, so one for each task would pile up. Functions here are pickled by
+    value, so a module of its own holds it."""
+    held = sys.modules.setdefault("_mercato_vocabularies", types.ModuleType("_mercato_vocabularies")).__dict__.setdefault("held", {})
+    key = (kind.__name__, *args)
+    if key not in held:
+        held[key] = kind(*args)
+    return held[key]
+
+
 class ByteBpe:
     """Ids by ``tokenizers``; ``ranks``, the same vocabulary in ``tiktoken``'s form, is the faster way for plain texts."""
 
