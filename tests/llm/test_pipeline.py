@@ -1,4 +1,10 @@
+from collections import Counter
+
+import public_tokenizers
+
 import corpus_pipeline as p
+from mercato.llm.common import written
+from mercato.llm.mixing import targets
 
 from .odd import documents, texts, with_repeats, words
 from .test_classifiers import language_rows, mixed_words
@@ -30,12 +36,40 @@ def test_stages_keep_the_columns_and_their_decisions(spark):
 
 
 def test_run_packs_what_the_stages_keep(spark):
+    """The pieces of ``run`` are those of the stages in turn: the same ids of the same documents, none lost and none twice."""
     sf = "/root/testdata/sf0.001"
-    got = p.run(spark, sf)
-    assert {"doc_id", "start", "length", "ids", "sequence_id", "offset"} <= set(got.columns)
-    assert got.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
-    known = {r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
-    assert {r[0] for r in got.select("doc_id").collect()} <= known
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    counts = []
+    for name, stage in p.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf), name)
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > 0 and counts[1] == counts[2]
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want, drawn = {}, Counter()
+    for r in docs.collect():
+        want[r["doc_id"]] = t.encode(r["text"] or "", add_special_tokens=False).ids + [1]
+        drawn[r["doc_id"]] += 1
+    got, filled = {k: Counter() for k in want}, Counter()
+    for r in p.run(spark, sf).collect():
+        assert r["ids"] == want[r["doc_id"]][r["start"]:r["start"] + r["length"]] and r["doc_tokens"] == len(want[r["doc_id"]])
+        got[r["doc_id"]].update(range(r["start"], r["start"] + r["length"]))
+        filled[r["sequence_id"]] += r["length"]
+    for k, ids in want.items():
+        assert got[k] == Counter({i: drawn[k] for i in range(len(ids))}), k
+    assert max(filled.values()) <= 2048 and sum(n < 2048 for n in filled.values()) <= 1
+
+
+def test_mixing_stage_draws_to_the_targets(spark):
+    rows = {k: words(k, 30 + k % 50) for k in range(400)}
+    docs = documents(spark, rows).select(*p.COLUMNS)
+    want = {s.name: s for s in targets({s: sum(len(t.split()) for k, t in rows.items() if (f"s{k % 2}" if k % 5 else None) == s) for s in ("s0", "s1", None)})}
+    got, taken = p.mixed(spark, docs, "").collect(), Counter()
+    for r in got:
+        assert r["text"] == rows[r["doc_id"]]
+        taken[r["source"]] += len(r["text"].split())
+    assert all(abs(taken[s] - want[s].target) <= 40 for s in want)
+    assert max(Counter(r["doc_id"] for r in got).values()) <= 3
 
 
 def test_stages_take_odd_and_empty_tables(spark):
