@@ -57,7 +57,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens (of a document drawn twice, the pieces occur twice)."""
     import public_tokenizers
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 STAGES = [
