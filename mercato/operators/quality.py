@@ -105,6 +105,49 @@ def fk_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
         "fact_table", "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("orphans"))
 
 
+def duplicate_key_examples(df: DataFrame, table: str, most: int = 3) -> list[tuple]:
+    """A few keys of ``table`` that occur more than once, for a message."""
+    keys = PRIMARY_KEYS[table]
+    return [tuple(r[k] for k in keys) for r in df.groupBy(*keys).count().where("count > 1").orderBy(*keys).limit(most).collect()]
+
+
+def orphan_key_examples(tables: Mapping[str, DataFrame], fact: str, column: str, most: int = 3) -> list:
+    """A few non-NULL values of a fact's foreign key that its dimension lacks, for a message."""
+    dim, key = next((d, k) for f, c, d, k in FOREIGN_KEYS if (f, c) == (fact, column))
+    known = tables[dim].select(F.col(key).alias(column))
+    lost = tables[fact].select(column).where(F.col(column).isNotNull()).join(known, column, "left_anti")
+    return [r[0] for r in lost.distinct().orderBy(column).limit(most).collect()]
+
+
+def broken_primary_keys(tables: Mapping[str, DataFrame]) -> list[str]:
+    """A message for each table whose primary key is not unique (K3): its rows and a few values."""
+    found = []
+    for r in pk_checks({t: df for t, df in tables.items() if t in PRIMARY_KEYS}).where("excess_rows > 0").collect():
+        name = r["table_name"]
+        found.append(f"primary key {name}({', '.join(PRIMARY_KEYS[name])}): {r['duplicate_keys']} keys occur more than once, "
+                     f"{r['excess_rows']} rows too many, such as {duplicate_key_examples(tables[name], name)}")
+    return found
+
+
+def broken_foreign_keys(tables: Mapping[str, DataFrame]) -> list[str]:
+    """A message for each foreign key with values that its dimension lacks (C16): its rows and a few values."""
+    if not any(f in tables and d in tables for f, _, d, _ in FOREIGN_KEYS):
+        return []
+    return [f"foreign key {r['fact_table']}.{r['column_name']}: {r['orphans']} rows without their dimension row, "
+            f"such as {orphan_key_examples(tables, r['fact_table'], r['column_name'])}"
+            for r in fk_checks(tables).where("orphans > 0").collect()]
+
+
+def assert_keys(tables: Mapping[str, DataFrame], orphans: str = "fail") -> dict[str, list[str]]:
+    """Raises naming each broken key; with ``orphans="report"`` foreign keys are only returned."""
+    if orphans not in ("fail", "report"):
+        raise ValueError(f"orphans must be fail or report, not {orphans!r}")
+    broken, lost = broken_primary_keys(tables), broken_foreign_keys(tables)
+    if broken or (lost and orphans == "fail"):
+        raise QualityError("Key checks failed:\n" + "\n".join(broken + lost))
+    return {"orphans": lost}
+
+
 def orphan_checks(orders: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame,
                   sellers: DataFrame) -> DataFrame:
     """Reference-key checks: child rows without a parent; NULL keys count as orphans."""

@@ -6,7 +6,8 @@ executor recomputes at most one stage from files in the shared store, and
 the summaries, which reuse each fact several times, scan compact Parquet
 instead of re-running the cleaning and joins. The quality gate runs after
 the facts and before any summary; a failure raises and leaves the previous
-summaries untouched.
+summaries untouched. ``publish_pipeline`` runs all of it in a folder of its own
+and shows readers the whole result at once, after all gates.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import assert_quality, quality_checks
+from ..operators.quality import assert_keys, assert_quality, quality_checks
+from ..sources.publishing import Run, Version, prune, resolve
 from ..sources.sinks import write_counted
 from .build import WarehouseBuild
 
@@ -107,9 +109,38 @@ def run_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, *
     return log
 
 
-def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The written dimension, fact and summary tables, for the read layer."""
+def key_gate(orphans: str = "fail") -> Callable[[Mapping[str, DataFrame]], Mapping]:
+    """Primary and foreign keys of a warehouse's dimensions and facts; ``orphans="report"`` only notes unknown foreign keys."""
+    return lambda tables: assert_keys({n: tables[n] for n in DIMENSIONS + FACTS}, orphans)
+
+
+def publish_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, *, keep: int = 3,
+                     orphans: str = "fail", **kw) -> tuple[Version, StageLog]:
+    """``run_pipeline`` in a new version's folder, published after every gate has passed.
+
+    Readers (``read_warehouse``) stay on the version before until then; a run that
+    fails, or dies at any point, changes nothing for them. The ``keep`` newest
+    versions remain readable. Facts whose foreign keys miss their dimension stop
+    the run, or are noted in the version with ``orphans="report"``.
+    """
+    run = Run(spark, root)
+    log = run_pipeline(spark, raw, run.folder, **kw)
+    for name in DIMENSIONS + FACTS + SUMMARIES:
+        path = f"{run.folder}/dw/{name}"
+        run.adopt(name, [path], spark.read.parquet(path).schema)
+    timed: dict[str, Version] = {}
+    log.run("wall.publish", lambda: timed.update(version=run.publish(key_gate(orphans), {"rows": log.rows})))
+    prune(spark, root, keep)
+    return timed["version"], log
+
+
+def read_warehouse(spark: SparkSession, root: str, number: int | None = None) -> dict[str, DataFrame]:
+    """The written dimension, fact and summary tables, for the read layer: of a published version (the current one by
+    default), or of a root that ``run_pipeline`` wrote in place."""
     root = root.rstrip("/")
+    version = resolve(spark, root, number)
+    if version is not None:
+        return {n: version.read(spark, n) for n in DIMENSIONS + FACTS + SUMMARIES}
     return {n: spark.read.parquet(f"{root}/dw/{n}") for n in DIMENSIONS + FACTS + SUMMARIES}
 
 

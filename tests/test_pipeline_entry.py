@@ -92,7 +92,7 @@ def test_oracle_agrees_at_smallest_scale(spark, name):
 
 def test_command_line_run(spark, tmp_path, capsys):
     from mercato.__main__ import main
-    assert main(["run", "--fixtures", SF_SMALL, "--out", str(tmp_path / "wh"), "--parallel", "2"]) == 0
+    assert main(["run", "--fixtures", SF_SMALL, "--out", str(tmp_path / "wh"), "--parallel", "2", "--orphans", "report"]) == 0
     out = capsys.readouterr().out
     assert '"dw.agg_sales_daily"' in out
     assert spark.read.parquet(str(tmp_path / "wh" / "dw" / "agg_sales_monthly")).count() > 0
