@@ -25,6 +25,7 @@ from mercato.plans import warehouse as W  # noqa: E402
 from mercato.plans import aggregates as A  # noqa: E402
 from mercato.plans import microbatch as M  # noqa: E402
 from mercato.plans import rollups as RU  # noqa: E402
+from mercato.plans import scenarios as SC  # noqa: E402
 from mercato.operators import quality as Q  # noqa: E402
 from mercato.plans.build import MicroBatchBuild, WarehouseBuild  # noqa: E402
 from mercato.sources.fixtures import Fixtures  # noqa: E402
@@ -274,6 +275,18 @@ _q("recent_batches", "SELECT batch_id, window_start, window_end, total_orders, b
                      "ORDER BY batch_id DESC LIMIT 10")(lambda b: RU.recent_batches(_mb(b).batch_summary))
 
 
+# ------------------------------------------------------------------ versions, changes and lasting ids
+_q("published_version", "SELECT * FROM published_version")(lambda b: SC.published_version(b.dim_date.sparkSession, b))
+_q("refresh_inventory", "SELECT * FROM changed_inventory")(lambda b: SC.refresh_inventory(b.dim_date.sparkSession, b))
+_q("refresh_daily_sales", "SELECT * FROM changed_sales_daily")(lambda b: SC.refresh_daily_sales(b.dim_date.sparkSession, b))
+_q("refresh_monthly_sales", "SELECT * FROM changed_sales_monthly")(lambda b: SC.refresh_monthly_sales(b.dim_date.sparkSession, b))
+_q("refresh_payments", "SELECT * FROM changed_payment_methods")(lambda b: SC.refresh_payments(b.dim_date.sparkSession, b))
+_q("refresh_reviews", "SELECT * FROM changed_reviews_monthly")(lambda b: SC.refresh_reviews(b.dim_date.sparkSession, b))
+_q("lasting_ids", "SELECT * FROM lasting_ids")(lambda b: SC.lasting_ids(b.dim_date.sparkSession, b))
+
+_q("csv_rejects", "SELECT * FROM csv_rejects")(lambda b: SC.csv_rejects(b.dim_date.sparkSession, b))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily sales summary (clean items -> item fact -> daily aggregate) at sf0.001."""
     return _build(spark, SMOKE_DIR).agg_sales_daily

@@ -49,20 +49,24 @@ def agg_sales_monthly(daily: DataFrame) -> DataFrame:
     return conform(out, "agg_sales_monthly")
 
 
-def agg_inventory(fact: DataFrame, products: DataFrame, hash_fn: str = "crc32",
-                  fallback: str = "Uncategorized") -> DataFrame:
-    """Product performance plus simulated stock.
-
-    The stock is a pure function of the product id (hash mod 500, hash mod 80
-    + 20), so it is a projection; no second pass over the product table.
-    """
-    per_product = fact.groupBy("product_id").agg(
+def inventory_sums(fact: DataFrame) -> DataFrame:
+    """Per product: what ``inventory_from`` needs, as counts and sums."""
+    return fact.groupBy("product_id").agg(
         F.count("*").alias("total_units_sold"),
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("total_amount").alias("revenue"),
         F.sum("price").alias("price_sum"),
         F.count("price").alias("price_n"),
     )
+
+
+def inventory_from(per_product: DataFrame, products: DataFrame, hash_fn: str = "crc32",
+                   fallback: str = "Uncategorized") -> DataFrame:
+    """Product performance plus simulated stock, from a product's sums.
+
+    The stock is a pure function of the product id (hash mod 500, hash mod 80
+    + 20), so it is a projection; no second pass over the product table.
+    """
     names = products.select("product_id", "product_category_name_english")
     qty, reorder = pseudo_stock(F.col("product_id"), hash_fn)
     out = per_product.join(names, on="product_id", how="inner").select(
@@ -76,6 +80,12 @@ def agg_inventory(fact: DataFrame, products: DataFrame, hash_fn: str = "crc32",
     return conform(out, "agg_inventory")
 
 
+def agg_inventory(fact: DataFrame, products: DataFrame, hash_fn: str = "crc32",
+                  fallback: str = "Uncategorized") -> DataFrame:
+    """Product performance plus simulated stock."""
+    return inventory_from(inventory_sums(fact), products, hash_fn, fallback)
+
+
 def agg_payment_methods(payments: DataFrame, min_value: float = 0) -> DataFrame:
     out = payments.filter(F.col("payment_value") > F.lit(min_value)).groupBy("payment_type").agg(
         F.count("*").alias("total_transactions"),
@@ -90,13 +100,8 @@ def agg_payment_methods(payments: DataFrame, min_value: float = 0) -> DataFrame:
 SCORES = (5, 4, 3, 2, 1)
 
 
-def agg_reviews_monthly(reviews: DataFrame, dim_date: DataFrame) -> DataFrame:
-    per_key = reviews.groupBy("order_purchase_date_key").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("review_score").cast("decimal(20,0)")).alias("score_sum"),
-        F.count("review_score").alias("score_n"),
-        *[F.count_if(F.col("review_score") == s).alias(f"score_{s}") for s in SCORES],
-    )
+def reviews_from(per_key: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Monthly review scores from the sums of each date key."""
     days = dim_date.select(F.col("date_key").alias("order_purchase_date_key"), "year", "month")
     out = per_key.join(days, on="order_purchase_date_key", how="inner").groupBy("year", "month").agg(
         F.sum("n").alias("total_reviews"),
@@ -104,3 +109,13 @@ def agg_reviews_monthly(reviews: DataFrame, dim_date: DataFrame) -> DataFrame:
         *[F.sum(f"score_{s}").alias(f"score_{s}") for s in SCORES],
     )
     return conform(out, "agg_reviews_monthly")
+
+
+def agg_reviews_monthly(reviews: DataFrame, dim_date: DataFrame) -> DataFrame:
+    per_key = reviews.groupBy("order_purchase_date_key").agg(
+        F.count("*").alias("n"),
+        F.sum(F.col("review_score").cast("decimal(20,0)")).alias("score_sum"),
+        F.count("review_score").alias("score_n"),
+        *[F.count_if(F.col("review_score") == s).alias(f"score_{s}") for s in SCORES],
+    )
+    return reviews_from(per_key, dim_date)
