@@ -60,8 +60,9 @@ def append_batch(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
 
     Needs ``spark.sql.sources.partitionOverwriteMode=dynamic`` (pinned by
     ``mercato.session``); it is also set on the writer so it holds for any session.
+    Rows are rebalanced by batch, so a batch is as many files as its bytes need.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", batch_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(batch_col).parquet(path))
 
 

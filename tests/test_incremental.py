@@ -78,6 +78,23 @@ def test_moved_deleted_and_emptied_months(spark, tmp_path):
     assert left == {201802, 201804}
 
 
+def test_months_are_few_files_however_many_tasks(spark, tmp_path):
+    rows = [(f"o{k}", 1, 20180100 + 100 * (k % 3) + 1, 1) for k in range(600)]
+    path = str(tmp_path / "fact")
+    write_fact_by_month(_fact(spark, rows).repartition(40), path)
+    assert len(_mtimes(path)) == 3 and spark.read.parquet(path).count() == 600
+    # a hot month is split by size, not funnelled into one file
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+        write_fact_by_month(_fact(spark, [(f"o{k}", 1, 20180101, 1) for k in range(5000)]).repartition(40), path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert 3 < len(_mtimes(path)) <= 40 and spark.read.parquet(path).count() == 5000
+
+
 def test_sums_pass_a_trillion(spark):
     from mercato.plans.aggregates import agg_payment_methods, agg_sales_monthly
     from mercato.plans.reads import installment_distribution, payments_breakdown

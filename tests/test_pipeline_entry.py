@@ -95,4 +95,5 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert main(["run", "--fixtures", SF_SMALL, "--out", str(tmp_path / "wh"), "--parallel", "2", "--orphans", "report"]) == 0
     out = capsys.readouterr().out
     assert '"dw.agg_sales_daily"' in out
-    assert spark.read.parquet(str(tmp_path / "wh" / "dw" / "agg_sales_monthly")).count() > 0
+    assert '"version": 1' in out
+    assert read_warehouse(spark, str(tmp_path / "wh"))["agg_sales_monthly"].count() > 0
