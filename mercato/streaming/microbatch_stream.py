@@ -45,7 +45,7 @@ class IncompleteBatch(ValueError):
 
 
 def _replace_batches(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    df.hint("rebalance", "batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
 def land_batches(batches: Mapping[str, DataFrame], landing: str) -> None:
