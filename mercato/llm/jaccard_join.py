@@ -11,8 +11,9 @@ least popcount(xor) shingles in which the sets differ. Pairs that the bound lets
 through are verified by intersecting the sorted shingle arrays of the texts.
 
 A first round over eight minimum hashes links most members of large groups of
-near copies: one verified link for each, then the pairs that minimum hashes
-brought together and that are still in different components. Tiles need only
+near copies: rows of one minimum hash meet a few neighbours of like size whose
+bitmaps allow a link; one verified link for each row, then the other such pairs
+that are still in different components. Tiles need only
 pairs between different components, so a group of m near copies does not cost m^2.
 
 Defined results: NULL, empty and blank texts have 0 shingles and link with
@@ -25,6 +26,7 @@ and the text are read, so that other columns never clash.
 from __future__ import annotations
 
 import uuid
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -73,11 +75,18 @@ def parity_bits(s: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
 
-def overlap_bound(a: bytes, b: bytes, n: int, m: int) -> int:
-    """Upper bound of the overlap: bitmaps of different widths are folded to the smaller one."""
-    x, y = (np.frombuffer(v, np.uint64) for v in sorted((a, b), key=len))
-    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
-    return (n + m - int(np.bitwise_count(x ^ y).sum())) // 2
+def parity(bits: bytes) -> tuple[int, int]:
+    """(bitmap as a number, its width in bits)."""
+    return int.from_bytes(bits, "little"), 8 * len(bits)
+
+
+def overlap_bound(a: tuple[int, int], b: tuple[int, int], n: int, m: int) -> int:
+    """Upper bound of the overlap of sets of sizes n and m with parities a and b: the wider is folded to the narrower."""
+    (x, width), (y, wide) = sorted((a, b), key=lambda v: v[1])
+    while wide > width:
+        wide //= 2
+        y = (y >> wide) ^ (y & ((1 << wide) - 1))
+    return (n + m - (x ^ y).bit_count()) // 2
 
 
 def _rows(batch) -> tuple[pa.Array, list[np.ndarray]]:
@@ -115,23 +124,37 @@ def _signatures(batches):
              pa.array(keys, pa.list_(pa.int64()))], names=["rep", "n", "bits", "keys"])
 
 
-def _near(percent: int):
-    """Sorted (key, n, rep, bits) -> pairs with the key's first (v of 1 or more) and with the neighbour, if the bound allows them."""
+def _near(percent: int, back: int = 16, pairs: int = 3):
+    """Sorted (key, n, rep, bits) -> pairs that the bound allows (v: how close, 1 more with the key's first).
+
+    A row meets the key's first row and the ``back`` rows before it, nearest in
+    size first, until ``pairs`` of them are allowed. What stays unlinked by
+    this is left to the tiles, which meet all pairs.
+    """
     def run(batches):
-        first = last = None
+        key, first, before = None, None, deque(maxlen=back)
         for batch in batches:
             found = []
-            for key, n, rep, bits in zip(*(c.to_pylist() for c in batch.columns)):
-                if last is None or last[0] != key:
-                    first = last = (key, n, rep, bits)
-                    continue
-                for other in {first[2]: first, last[2]: last}.values():
-                    least = need(other[1], n, percent)
-                    if other[2] != rep and other[1] >= least:
-                        most = overlap_bound(other[3], bits, other[1], n)
-                        if most >= least:
-                            found.append((other[2], rep, (other is first) + most / (2 * (other[1] + n))))
-                last = (key, n, rep, bits)
+            for k, n, rep, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                row = (n, rep, parity(bits))
+                if k != key:
+                    key, first = k, row
+                    before.clear()
+                left = pairs
+                for other in (first, *reversed(before)):
+                    least = need(other[0], n, percent)
+                    if other[0] < least and other is not first:
+                        break  # sizes ascend: earlier ones do not fit either
+                    if other[1] == rep or other[0] < least:
+                        continue
+                    most = overlap_bound(other[2], row[2], other[0], n)
+                    if most >= least:
+                        found.append((other[1], rep, (other is first) + most / (2 * (other[0] + n))))
+                        left -= 1
+                        if not left:
+                            break
+                if row is not first:
+                    before.append(row)
             a, b, v = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(v, pa.float64())], names=["a", "b", "v"])
     return run
@@ -223,7 +246,7 @@ def _bounded(percent: int):
     def run(batches):
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
-            keep = [overlap_bound(x, y, n, m) >= need(n, m, percent) for n, x, m, y in zip(*cols[2:])]
+            keep = [overlap_bound(parity(x), parity(y), n, m) >= need(n, m, percent) for n, x, m, y in zip(*cols[2:])]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
     return run
 

@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from mercato.llm.jaccard_join import jaccard_components, need, overlap_bound, parity_bits
+from mercato.llm.jaccard_join import _near, jaccard_components, need, overlap_bound, parity, parity_bits
 
 from .odd import documents, texts, with_repeats, words
 
@@ -52,12 +53,23 @@ def test_bitmaps_bound_the_overlap():
     r = np.random.default_rng(1)
     for _ in range(200):
         a, b = (np.unique(r.integers(0, 400, r.integers(1, 300)).astype(np.uint64) << np.uint64(33)) for _ in range(2))
-        assert overlap_bound(parity_bits(a), parity_bits(b), len(a), len(b)) >= len(np.intersect1d(a, b))
+        assert overlap_bound(parity(parity_bits(a)), parity(parity_bits(b)), len(a), len(b)) >= len(np.intersect1d(a, b))
     for a in range(1, 40):
         for b in range(1, 40):
             assert need(a, b, 75) == min(o for o in range(a + b + 1) if 100 * o >= 75 * (a + b - o))
 
 
+def test_first_round_tries_more_than_the_neighbour():
+    """A row whose neighbour in size is too far still meets those before; another key starts anew."""
+    one, far = (np.sort(np.random.default_rng(k).integers(0, 1 << 63, 100).astype(np.uint64)) for k in (1, 2))
+    rows = [(7, 100, 1, parity_bits(far)), (7, 100, 2, parity_bits(one)), (7, 100, 3, parity_bits(far)), (7, 100, 4, parity_bits(one)),
+            (8, 100, 5, parity_bits(one))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
+                                       names=["key", "n", "rep", "bits"])
+    found = {(r["a"], r["b"]) for out in _near(75)([batch]) for r in out.to_pylist()}
+    assert found == {(1, 3), (2, 4)}
+
+
 def test_odd_inputs(spark):
     assert jaccard_components(documents(spark, {})).count() == 0
     got = jaccard_components(with_repeats(spark)).collect()
