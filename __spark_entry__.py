@@ -285,6 +285,7 @@ _q("refresh_reviews", "SELECT * FROM changed_reviews_monthly")(lambda b: SC.refr
 _q("lasting_ids", "SELECT * FROM lasting_ids")(lambda b: SC.lasting_ids(b.dim_date.sparkSession, b))
 
 _q("csv_rejects", "SELECT * FROM csv_rejects")(lambda b: SC.csv_rejects(b.dim_date.sparkSession, b))
+_q("run_ledger", _oracle.run_ledger())(lambda b: SC.run_ledger(b.dim_date.sparkSession, b))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -109,6 +109,15 @@ class WarehouseBuild:
     def fact_order_reviews(self) -> DataFrame:
         return W.fact_order_reviews(self.reviews_typed, self.orders, self.review_dedup)
 
+    _flows = {"fact_order_items": (fact_order_items, lambda b: W.item_flow(b.order_items, b.orders)),
+              "fact_order_payments": (fact_order_payments, lambda b: W.payment_flow(b.payments, b.orders, b.payment_min_value))}
+
+    def flow(self, fact: str):
+        """(rows, rules, finish) of a fact whose left-out rows a ledger counts; None for others, and for a fact that a
+        subclass builds in its own way."""
+        made_by, flow = self._flows.get(fact, (None, None))
+        return flow(self) if made_by is not None and getattr(type(self), fact) is made_by else None
+
     # summaries ----------------------------------------------------------
     @cached_property
     def agg_sales_daily(self) -> DataFrame:

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from ..operators.allocator import allocate
 from ..operators.quality import QualityError, assert_keys
+from ..sources.ledger import Ledger
 from ..sources.publishing import Run, history, resolve
 from ..sources.rejects import load_with_rejects
 from ..sources.scratch import scratch_path
 from . import retraction as RT
 from .aggregates import agg_sales_daily, agg_sales_monthly
 from .build import WarehouseBuild
+from .warehouse import item_flow, payment_flow
 
 
 def published_version(spark: SparkSession, b: WarehouseBuild) -> DataFrame:
@@ -137,3 +139,22 @@ def csv_rejects(spark: SparkSession, b: WarehouseBuild, files: int = 4) -> DataF
     bad = got.rejects.groupBy(F.col("reason").alias("outcome")).agg(
         F.count("*").alias("rows"), F.count_distinct(F.split("raw", ",")[0]).alias("orders"))
     return one.unionByName(bad)
+
+
+# ------------------------------------------------------------------ run ledger
+def run_ledger(spark: SparkSession, b: WarehouseBuild) -> DataFrame:
+    """Control totals of staged items and payments and of their facts, taken while these are written; orders of status P are
+    not loaded, so that their rows are kept out. The totals balance."""
+    from .pipeline import MADE_OF, TOTALS
+    root = scratch_path(spark, "ledger")
+    ledger = Ledger()
+    for name, df in {"order_items": b.order_items, "payments": b.payments}.items():
+        ledger.write(df, f"{root}/{name}", name, TOTALS[name])
+    staged = {n: spark.read.parquet(f"{root}/{n}") for n in ("order_items", "payments")}
+    orders = b.orders.where("NOT order_status <=> 'P'")
+    for name, flow in {"fact_order_items": item_flow(staged["order_items"], orders),
+                       "fact_order_payments": payment_flow(staged["payments"], orders)}.items():
+        rows, rules, finish = flow
+        ledger.write(rows, f"{root}/{name}", name, TOTALS[name], rules, finish)
+    ledger.balance(MADE_OF)
+    return ledger.frame(spark)

@@ -9,6 +9,7 @@ broadcast by hand.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,3 +130,31 @@ def fact_order_reviews(reviews: DataFrame, orders: DataFrame, dedup: str = "afte
     f = f.withColumns({"review_comment_title": fill_text("review_comment_title"),
                        "review_comment_message": fill_text("review_comment_message")})
     return conform(f, "fact_order_reviews")
+
+
+# Facts with what they leave out: every row of staging beside its order, the rules that keep rows out, and the fact of the rest.
+# The rules stand after the join, so that a ledger counts them while the fact is written.
+NO_ORDER = "no order"
+
+
+def _beside_orders(rows: DataFrame, orders: DataFrame, *columns: str) -> tuple[DataFrame, Column]:
+    """``rows`` left-joined with their orders, and the condition of those without one."""
+    side = _order_side(orders).select("order_id", *columns).withColumn("_known", F.lit(True))
+    return rows.join(side, on="order_id", how="left"), F.col("_known").isNull()
+
+
+def item_flow(items: DataFrame, orders: DataFrame) -> tuple[DataFrame, dict[str, Column], Callable[[DataFrame], DataFrame]]:
+    """``fact_order_items`` as (rows, rules, finish) for ``Ledger.write``."""
+    rows, unknown = _beside_orders(items, orders, "customer_id", "order_status", "order_purchase_date_key")
+    return rows, {NO_ORDER: unknown}, lambda df: conform(df, "fact_order_items")
+
+
+def payment_flow(payments: DataFrame, orders: DataFrame, min_value: float | None = 0, not_defined_as: str = "other",
+                 ) -> tuple[DataFrame, dict[str, Column], Callable[[DataFrame], DataFrame]]:
+    """``fact_order_payments`` as (rows, rules, finish) for ``Ledger.write``."""
+    rows, unknown = _beside_orders(payments, orders, "order_purchase_date_key")
+    rules = {NO_ORDER: unknown}
+    if min_value is not None:
+        rules = {"value not above the least": ~F.coalesce(F.col("payment_value") > F.lit(min_value), F.lit(False)), **rules}
+    return rows, rules, lambda df: conform(df.withColumn("payment_type", normalise_payment_type("payment_type", not_defined_as)),
+                                           "fact_order_payments")
