@@ -93,7 +93,7 @@ def _rows(batch) -> tuple[pa.Array, list[np.ndarray]]:
     """Ids and shingle sets of a batch (doc_id, text)."""
     data, off = text_bytes(batch.column(1))
     sets = []
-    for lo, hi in row_slices(off):
+    for lo, hi in row_slices(off, 1 << 19):  # a slice's working arrays are about 40 times its bytes
         sets += shingle_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
     return batch.column(0), sets
 
