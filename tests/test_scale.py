@@ -33,6 +33,16 @@ def _counted(spark, df):
     return df.withColumn("order_id", F.udf(seen, "string").asNondeterministic()("order_id")), made
 
 
+def test_inventory_counts_orders_without_a_distinct_count(spark):
+    rows = [("o1", 1, "p1", 1, "F", Decimal(2)), ("o1", 2, "p1", 1, "F", None), ("o2", 1, "p1", 1, "F", Decimal(4)),
+            (None, 1, "p1", 1, "F", Decimal(1)), (None, 2, "p2", 1, "F", Decimal(1)), ("o2", 2, None, 1, "F", Decimal(8)), ("o2", 3, None, 1, "F", Decimal(8))]
+    sums = A.inventory_sums(_fact(spark, rows))
+    got = {r["product_id"]: (r["total_units_sold"], r["total_orders"], r["price_sum"], r["price_n"]) for r in sums.collect()}
+    assert got == {"p1": (4, 2, Decimal(7), 3), "p2": (1, 0, Decimal(1), 1), None: (2, 1, Decimal(16), 2)}
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct" not in plan  # it would keep two hash maps of all pairs in a task
+
+
 @pytest.mark.parametrize("specs", [[RT.INVENTORY], [RT.INVENTORY, RT.DAILY]])
 def test_a_refresh_makes_its_change_once(spark, tmp_path, specs):
     change, made = _counted(spark, _fact(spark, _items()))
