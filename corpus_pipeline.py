@@ -42,8 +42,11 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that occur twice; a text may become empty, a NULL stays NULL."""
-    left = remove_repeats(docs, as_text=True)
+    """Texts without the passages of 50 words or more, or of 400 bytes, that occur twice; a text may become empty, a NULL stays NULL.
+
+    50 words are often shorter than 400 bytes, so repeats are looked for from 240 bytes on: 99 of 100 runs of 51 words of prose are longer.
+    """
+    left = remove_repeats(docs, length=240, as_text=True, min_words=50, min_bytes=400)
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
     return left.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("long").alias("n_chars"))
 

@@ -95,3 +95,14 @@ def test_language_stage_keeps_clean_mixtures(spark):
     mixtures = documents(spark, rows).select(*p.COLUMNS).withColumn("lang", F.lit(None).cast("string"))
     kept = {r["doc_id"] for r in p.known_language(spark, plain.unionByName(mixtures), "").select("doc_id").collect()}
     assert kept == set(range(60)) | set(rows) - {2000}
+
+
+def test_repeats_of_over_50_words_go_even_below_400_bytes(spark):
+    passage, short = words(50, 55), "-".join(words(51, 60).split()[:50]).replace("-", "", 25)
+    assert 240 < len(passage) < 400 and 240 < len(short) < 400 and len(short.split()) < 50
+    rows = {1: f"{words(52, 90)}\n{passage}\n{words(53, 20)}", 2: f"{words(54, 30)}\n{passage}\n{words(55, 70)}",
+            3: f"{words(56, 90)}\n{short}\n{words(57, 20)}", 4: f"{words(58, 30)}\n{short}\n{words(59, 70)}", 5: words(60, 200)}
+    got = {r["doc_id"]: r["text"] for r in p.without_repeats(spark, documents(spark, rows).select(*p.COLUMNS), "").collect()}
+    for k in (1, 2):  # a byte beside the passage may be equal too
+        assert passage[1:-1] not in got[k] and len(rows[k]) - len(passage) - 4 <= len(got[k]) <= len(rows[k]) - len(passage)
+    assert {k: got[k] for k in (3, 4, 5)} == {k: rows[k] for k in (3, 4, 5)}
