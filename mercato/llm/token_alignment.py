@@ -49,10 +49,33 @@ def _sorted_distinct(x: np.ndarray) -> np.ndarray:
     return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
+def _order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places that sort 64-bit values by their high bits, and which of these differ from the one before; places ride in the low bits."""
+    bits = np.uint64(max(1, len(x) - 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    key = np.sort((x & ~low) | np.arange(len(x), dtype=np.uint64))
+    high = key >> bits
+    return (key & low).astype(np.int64), np.append(True, high[1:] != high[:-1])
+
+
+def _distinct_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with its inverse, of pairs of ids; those of common vocabularies leave room for their places in 64 bits."""
+    if not len(pairs):
+        return pairs, np.zeros(0, np.int64)
+    one, two = pairs >> 32, pairs & 0xFFFFFFFF
+    bits, wide = len(pairs).bit_length(), int(two.max()).bit_length()
+    if int(one.max()).bit_length() + wide + bits > 64:
+        return np.unique(pairs, return_inverse=True)
+    order, begin = _order(((one << wide) | two).astype(np.uint64) << np.uint64(bits))
+    place = np.empty(len(pairs), np.int64)
+    place[order] = np.cumsum(begin) - 1
+    return pairs[order[begin]], place
+
+
 def distinct_slices(sides: list[np.ndarray], cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Slices (the same number on each side, none empty) that are the first of their ids, and for each slice which of these it equals.
 
-    Equal hashes are checked by comparing the ids; a slice that only shares a hash stands for itself.
+    Equal hashes (their high bits) are checked by comparing the ids; a slice that only shares a hash stands for itself.
     """
     n = len(cuts[0]) - 1
     if n < 1:
@@ -62,9 +85,7 @@ def distinct_slices(sides: list[np.ndarray], cuts: list[np.ndarray]) -> tuple[np
         for k, (ids, cut) in enumerate(zip(sides, cuts)):
             place = np.arange(len(ids)) - np.repeat(cut[:-1], np.diff(cut))
             total = mix64(total) + np.add.reduceat(mix64((ids.astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) + np.uint64(k + 1)), cut[:-1])
-    order = np.argsort(total)
-    total = total[order]
-    begin = np.append(True, total[1:] != total[:-1])
+    order, begin = _order(total)
     first, which = order[begin], np.empty(n, np.int64)
     which[order] = np.cumsum(begin) - 1
     model, same = first[which], np.ones(n, bool)
@@ -87,9 +108,9 @@ class Aligner:
     """
 
     def __init__(self, tokens_a: list[bytes], tokens_b: list[bytes], memo_bytes: int):
-        self.tokens = tokens_a, tokens_b
-        self.length = tuple(np.array([len(t) for t in side], np.int64) for side in self.tokens)
-        self.marked = tuple(np.array([t[:1] == b" " for t in side]) for side in self.tokens)
+        self.tokens = tuple(pa.array(side, pa.large_binary()) for side in (tokens_a, tokens_b))
+        self.length = tuple(np.array([len(t) for t in side], np.int64) for side in (tokens_a, tokens_b))
+        self.marked = tuple(np.array([t[:1] == b" " for t in side]) for side in (tokens_a, tokens_b))
         self.memo_bytes, self.held = memo_bytes, memo_bytes + 1
 
     def _group(self, key: tuple[bytes, bytes]) -> int:
@@ -104,8 +125,12 @@ class Aligner:
         self.held += 500 + 12 * (len(one) + len(two)) + 80 * len(pairs)
         return k
 
-    def spelt(self, side: int, ids: list[int], data: bytes) -> bool:
-        return b"".join(map(self.tokens[side].__getitem__, ids)) == data
+    def spelt(self, side: int, flat: np.ndarray, sizes: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Which texts are spelt by their ids, ``sizes`` of ``flat`` in turn."""
+        got = self.tokens[side].take(pa.array(flat))
+        at = np.frombuffer(got.buffers()[1], np.int64, len(got) + 1)[np.append(0, np.cumsum(sizes))]
+        data = got.buffers()[2].to_pybytes() if len(flat) else b""
+        return np.array([data[a:b] == t for a, b, t in zip(at[:-1].tolist(), at[1:].tolist(), texts)], bool)
 
     def windows(self, flat: list[np.ndarray], doc_ends: list[np.ndarray]) -> dict[str, np.ndarray]:
         """Windows of documents whose ids stand in turn; both sides spell the same bytes.
@@ -132,9 +157,8 @@ class Aligner:
             here = here.copy()
             here[ends[side][~marked[1:]]] = False
             anchor = here if anchor is None else anchor & here
-        common, anchor = np.flatnonzero(common), np.flatnonzero(anchor)
-        cuts = [np.append(0, np.searchsorted(e, common) + 1) for e in ends]
-        at = np.append(0, np.searchsorted(common, anchor) + 1)  # windows in groups
+        cuts = [np.append(0, np.flatnonzero(common[e] & np.append(True, e[1:] != e[:-1])) + 1) for e in ends]  # of tokens without bytes, the first
+        at = np.append(0, np.flatnonzero(anchor[np.flatnonzero(common)]) + 1)  # windows in groups
         first, which = distinct_slices(flat, [c[at] for c in cuts])
         n_groups = at[first + 1] - at[first]
         chosen = _ranges(at[first], n_groups)
@@ -208,14 +232,17 @@ def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_b
             yield pa.Table.from_batches(waiting).combine_chunks()
 
     def encode(texts, one, two, known):
-        """Ids of both sides; none of a text that they do not spell."""
+        """For both sides the ids, and how many each text has; none of a text that they do not spell."""
         spaced = [" " + t for t in texts]
-        a, b = one(spaced), two(texts)
-        for k, t in enumerate(spaced):
-            data = t.encode()
-            if len(data) == 1 or not (known.spelt(0, a[k], data) and known.spelt(1, b[k], data)):
-                a[k], b[k] = [], []
-        return a, b
+        data = [t.encode() for t in spaced]
+        good = np.array([len(t) > 1 for t in data])
+        sides = []
+        for side, ids in enumerate((one(spaced), two(texts))):
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            good &= known.spelt(side, flat, sizes, data)
+            sides.append((flat, sizes))
+        return [(flat[np.repeat(good, sizes)], np.where(good, sizes, 0)) for flat, sizes in sides]
 
     def bundle(number, table, one, two, known):
         doc_ids, texts = table.column(0).combine_chunks(), table.column(1).to_pylist()
@@ -224,9 +251,9 @@ def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_b
         for k in range(n):
             held += len(texts[k] or "")
             if held > chunk or k == n - 1:  # few texts' token lists at a time
-                for side, ids in enumerate(encode([t or "" for t in texts[lo:k + 1]], one, two, known)):
-                    flat[side].append(np.fromiter(chain.from_iterable(ids), np.uint32))
-                    counts[side].extend(map(len, ids))
+                for side, (ids, sizes) in enumerate(encode([t or "" for t in texts[lo:k + 1]], one, two, known)):
+                    flat[side].append(ids)
+                    counts[side].extend(sizes.tolist())
                 lo, held = k + 1, 0
         found = known.windows([np.concatenate(f) for f in flat], [np.cumsum(c) for c in counts])
         sha, windows, n_windows = known.digests(found), found["which"], np.diff(found["begin"])
@@ -235,7 +262,7 @@ def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_b
         size = np.bincount(np.repeat(np.arange(len(groups)), groups), rows, len(groups)).astype(np.int64)
         links = np.bincount(np.repeat(np.arange(len(groups)), size), times, len(groups))
         sums = [np.bincount(doc, v[windows], n).astype(np.int64) for v in (groups, links)]
-        keys, place = np.unique(pairs, return_inverse=True)
+        keys, place = _distinct_pairs(pairs)
         once = _sorted_distinct(doc * n_kinds + windows)  # each window of a document once, then each pair of it once
         doc, local = once // n_kinds, once % n_kinds
         spread = _ranges((np.cumsum(size) - size)[local], size[local])
