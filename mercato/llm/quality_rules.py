@@ -122,7 +122,7 @@ def rules(docs: DataFrame, model: np.ndarray | list[int], cut: float = -0.08, mi
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")  # folded to one literal
     w = w.withColumns({
         "n_words": F.size("_w").cast("long"),
-        "word_chars": F.aggregate("_w", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)),
+        "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "n_repeat_words": F.expr("""
