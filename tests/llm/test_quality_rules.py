@@ -113,3 +113,24 @@ def test_kept_follows_the_labels(spark):
     got = QUERIES["op10_quality_rules"](spark, sf).join(labels, "doc_id").selectExpr("quality", "if(base_failed, NULL, int(kept)) AS kept")
     share = {r[0]: r[1] for r in got.groupBy("quality").avg("kept").collect()}
     assert share[1] > 0.99 and share[0] < 0.01
+
+
+def test_words_are_split_without_a_translate(spark):
+    from mercato.llm.common import words_column
+    rows = {**texts(), 50: " \t a\x0bb\x0c\r\n c d ", 51: "x", 52: "\n"}
+    made = documents(spark, rows).select("doc_id", words_column(_col("text")).alias("found"))
+    assert {r["doc_id"]: r["found"] for r in made.collect()} == {k: re.findall(r"[^\x20\x09-\x0D]+", t or "") for k, t in rows.items()}
+    assert "translate" not in made._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_ascii_words_are_lowered_without_a_translate(spark):
+    from mercato.llm.license_scan import _lowered_words, template_words
+    rows = {1: "All Rights RESERVED.", 2: "ÉTÉ Été İx AİB ß Straße ABC", 3: None, 4: "", 5: "KKK"}
+    made = documents(spark, rows).select("doc_id", _lowered_words(_col("text")).alias("found"))
+    assert {r["doc_id"]: r["found"] for r in made.collect()} == {k: template_words(t or "") for k, t in rows.items()}
+    assert "lower(" in made._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def _col(name):
+    from pyspark.sql import functions as F
+    return F.col(name)

@@ -89,3 +89,20 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, libraries):
     assert empty.count() == 0 and empty.columns == ["doc_id", *COLUMNS]
     nothing = align_documents(documents(spark, {1: None, 2: ""}), *PATHS)[0]
     assert got(nothing) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_pairs_and_spelling_by_whole_columns():
+    import numpy as np
+
+    from mercato.llm.token_alignment import Aligner, _distinct_pairs
+    r = np.random.default_rng(3)
+    for wide in (1 << 15, 1 << 31):  # places fit beside the ids, and do not
+        pairs = (r.integers(0, wide, 3000) << 32 | r.integers(0, wide, 3000))[r.integers(0, 700, 3000)]
+        keys, place = _distinct_pairs(pairs)
+        want, inverse = np.unique(pairs, return_inverse=True)
+        assert (keys == want).all() and (place == inverse).all()
+    assert all(len(x) == 0 for x in _distinct_pairs(np.zeros(0, np.int64)))
+    known = Aligner([b" ", b"a", b"bc"], [b" a", b"bc"], 1 << 20)
+    got = known.spelt(0, np.array([0, 1, 2, 0, 2, 1], np.uint32), np.array([3, 0, 2, 1]), [b" abc", b"", b" b", b"a"])
+    assert got.tolist() == [True, True, False, True]
+    assert known.spelt(1, np.zeros(0, np.uint32), np.zeros(1, np.int64), [b"x"]).tolist() == [False]
