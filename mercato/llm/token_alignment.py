@@ -8,11 +8,14 @@ bytes of both; they split a document into small windows of token ids. What a
 window's groups and links are depends on its ids alone, so alignments are kept
 by the pair of id tuples, for as long as a task runs and within ``memo_bytes``.
 
-Links are counted in bundles: the documents of a few megabytes become one row
-with their distinct windows, the id pairs of these, and how many of its
-documents hold each pair. Only (pair, documents) rows are added up over the
-corpus; then a bundle asks for the counts of its own pairs, once each, and a
-document's sums follow from its windows'. No step holds the pair table whole.
+Links are counted in bundles: the documents of a few megabytes share a list of
+their distinct id pairs, with how many of these documents hold each. A document
+has one row: its counts, and the places of its own pairs in that list with how
+often each is linked. Bundles are read in slices, so neither a task nor a row
+holds a bundle's documents at once. Only (pair, documents) rows are added up
+over the corpus; then a bundle asks for the counts of its own pairs, once each,
+and these come, in the order of their places, right before its documents. No
+step holds the pair table whole.
 
 Defined results: NULL and empty texts, and texts whose tokens do not spell the
 space and the text, have no tokens: all counts are 0 and the digest is ''.
@@ -44,11 +47,6 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
 
 
-def _sorted_distinct(x: np.ndarray) -> np.ndarray:
-    x = np.sort(x)
-    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
-
-
 def _order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places that sort 64-bit values by their high bits, and which of these differ from the one before; places ride in the low bits."""
     bits = np.uint64(max(1, len(x) - 1).bit_length())
@@ -58,15 +56,23 @@ def _order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key & low).astype(np.int64), np.append(True, high[1:] != high[:-1])
 
 
+def _by_value(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_order`` of numbers from 0 to ``most``, by all their bits: they are shifted where that leaves room for their places."""
+    bits = len(x).bit_length()
+    if most.bit_length() + bits <= 64:
+        return _order(x.astype(np.uint64) << np.uint64(bits))
+    order = np.argsort(x, kind="stable")
+    x = x[order]
+    return order, np.append(True, x[1:] != x[:-1])
+
+
 def _distinct_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``np.unique`` with its inverse, of pairs of ids; those of common vocabularies leave room for their places in 64 bits."""
     if not len(pairs):
         return pairs, np.zeros(0, np.int64)
     one, two = pairs >> 32, pairs & 0xFFFFFFFF
-    bits, wide = len(pairs).bit_length(), int(two.max()).bit_length()
-    if int(one.max()).bit_length() + wide + bits > 64:
-        return np.unique(pairs, return_inverse=True)
-    order, begin = _order(((one << wide) | two).astype(np.uint64) << np.uint64(bits))
+    wide = int(two.max()).bit_length()
+    order, begin = _by_value((one << wide) | two, (int(one.max()) + 1 << wide) - 1)
     place = np.empty(len(pairs), np.int64)
     place[order] = np.cumsum(begin) - 1
     return pairs[order[begin]], place
@@ -195,41 +201,96 @@ class Aligner:
         return size[local], pairs, times
 
 
-BUNDLE = ("bundle long, doc_id array<{id}>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<long>, "
-          "groups_sha256 array<string>, n_windows array<int>, windows array<int>, n_pairs array<int>, pairs array<int>, "
-          "times array<int>, keys array<long>, docs array<int>")
+#: Of a bundle: rows with some of its pairs, from place ``base`` on, and in how many of its documents they are; a row for each document.
+BUNDLE = ("bundle long, base int, keys array<long>, docs array<int>, doc struct<doc_id: {id}, n_a: long, n_b: long, n_groups: long, "
+          "n_links: long, groups_sha256: string, n_pairs: int, places: binary, times: binary>")
+#: Pairs in a row.
+KEYS = 1 << 14
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers as unsigned ones of the least width that holds them all."""
+    return x.astype(np.min_scalar_type(int(x.max()))).tobytes() if len(x) else b""
+
+
+def _unpacked(column: pa.Array, n: np.ndarray) -> np.ndarray:
+    """The numbers of all rows of ``_packed`` ones in turn, ``n`` in each row."""
+    data, off = text_bytes(column)
+    width, begin = np.diff(off) // np.maximum(n, 1), np.cumsum(n) - n
+    out = np.zeros(int(n.sum()), np.int64)
+    for w in np.unique(width[n > 0]).tolist():
+        rows = np.flatnonzero((width == w) & (n > 0))
+        out[_ranges(begin[rows], n[rows])] = data[_ranges(off[rows], w * n[rows])].view(f"u{w}")
+    return out
 
 
-def _listed(x, kind=None) -> pa.ListArray:
-    x = pa.array(x, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+class PairList:
+    """The distinct pairs of a bundle in the order in which they came, and how many documents hold each."""
 
+    def __init__(self):
+        self.sorted, self.place, self.docs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_bytes: int, memo_bytes: int, names: list[str],
+    def add(self, keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Places of these (sorted, distinct) pairs, which ``docs`` further documents hold."""
+        at = np.searchsorted(self.sorted, keys)
+        new = np.append(self.sorted, -1)[at] != keys
+        place = np.empty(len(keys), np.int64)
+        place[~new] = self.place[at[~new]]
+        place[new] = len(self.place) + np.arange(np.count_nonzero(new))
+        self.sorted, self.place = np.insert(self.sorted, at[new], keys[new]), np.insert(self.place, at[new], place[new])
+        self.docs = np.append(self.docs, np.zeros(len(self.place) - len(self.docs), np.int64))
+        self.docs[place] += docs
+        return place
+
+    def keys(self) -> np.ndarray:
+        out = np.empty(len(self.sorted), np.int64)
+        out[self.place] = self.sorted
+        return out
+
+
+def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_bytes: int, memo_bytes: int, slice_bytes: int,
              chunk: int = 1 << 19):
     def run(batches):
         one, two = in_process(ByteBpe, vocabulary_a, ranks_a), in_process(Pieces, vocabulary_b)
         known = Aligner(one.token_bytes(), two.token_bytes(), memo_bytes)
-        number = TaskContext.get().partitionId() << 32
-        for batch in pieces(batches):
-            yield bundle(number, batch, one, two, known)
-            number += 1
+        number, held, pairs, kind = TaskContext.get().partitionId() << 32, 0, PairList(), None
+        for size, table in pieces(batches):
+            if held and held + size > bundle_bytes:
+                yield from listed(number, pairs, kind)
+                number, held, pairs = number + 1, 0, PairList()
+            docs = documents(table, one, two, known, pairs)
+            held, kind = held + size, docs.type
+            yield rows(np.full(len(docs), number), None, None, None, docs)
+        if held:
+            yield from listed(number, pairs, kind)
 
     def pieces(batches):
-        """Batches of about ``bundle_bytes`` of text; small ones are put together."""
-        waiting, held = [], 0
+        """Batches of about ``slice_bytes`` of text, and their size; small ones are put together."""
+        most, waiting, held = min(slice_bytes, bundle_bytes), [], 0
         for batch in batches:
             data, off = text_bytes(batch.column(1))
-            for lo, hi in row_slices(off, bundle_bytes):
-                part, n = batch.slice(lo, hi - lo), int(off[hi] - off[lo])
-                if waiting and held + n > bundle_bytes:
-                    yield pa.Table.from_batches(waiting).combine_chunks()
+            for lo, hi in row_slices(off, most):
+                part, n = batch.slice(lo, hi - lo), int(off[hi] - off[lo]) + 64 * (hi - lo)
+                if waiting and held + n > most:
+                    yield held, pa.Table.from_batches(waiting).combine_chunks()
                     waiting, held = [], 0
                 # a copy: a slice would hold its whole batch
                 waiting.append(pa.RecordBatch.from_arrays([c.take(pa.array(np.arange(len(c)))) for c in part.columns], schema=part.schema))
                 held += n
         if waiting:
-            yield pa.Table.from_batches(waiting).combine_chunks()
+            yield held, pa.Table.from_batches(waiting).combine_chunks()
+
+    def rows(number, base, keys, held_by, docs):
+        """A batch of ``BUNDLE`` rows; None: NULL in all."""
+        n, kinds = len(number), (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), *(pa.nulls(n, kind) if x is None else pa.array(x, kind) for x, kind in zip((base, keys, held_by), kinds)),
+             docs], names=["bundle", "base", "keys", "docs", "doc"])
+
+    def listed(number, pairs, kind):
+        keys = pairs.keys()
+        for lo in range(0, len(keys), KEYS):
+            yield rows([number], [lo], [keys[lo:lo + KEYS]], [pairs.docs[lo:lo + KEYS]], pa.nulls(1, kind))
 
     def encode(texts, one, two, known):
         """For both sides the ids, and how many each text has; none of a text that they do not spell."""
@@ -244,7 +305,8 @@ def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_b
             sides.append((flat, sizes))
         return [(flat[np.repeat(good, sizes)], np.where(good, sizes, 0)) for flat, sizes in sides]
 
-    def bundle(number, table, one, two, known):
+    def documents(table, one, two, known, listed_pairs):
+        """The documents of a table, as structs; their pairs go to the list."""
         doc_ids, texts = table.column(0).combine_chunks(), table.column(1).to_pylist()
         n = len(texts)
         flat, counts, lo, held = ([], []), ([], []), 0, 0
@@ -258,61 +320,73 @@ def _bundles(vocabulary_a: str, vocabulary_b: str, ranks_a: str | None, bundle_b
         found = known.windows([np.concatenate(f) for f in flat], [np.cumsum(c) for c in counts])
         sha, windows, n_windows = known.digests(found), found["which"], np.diff(found["begin"])
         groups, doc, n_kinds = found["n_groups"], np.repeat(np.arange(n), n_windows), max(1, len(found["n_groups"]))
-        rows, pairs, times = known.links(found["groups"])
-        size = np.bincount(np.repeat(np.arange(len(groups)), groups), rows, len(groups)).astype(np.int64)
-        links = np.bincount(np.repeat(np.arange(len(groups)), size), times, len(groups))
-        sums = [np.bincount(doc, v[windows], n).astype(np.int64) for v in (groups, links)]
+        n_rows, pairs, times = known.links(found["groups"])
+        size = np.bincount(np.repeat(np.arange(len(groups)), groups), n_rows, len(groups)).astype(np.int64)
+        n_groups = np.bincount(doc, groups[windows], n).astype(np.int64)
         keys, place = _distinct_pairs(pairs)
-        once = _sorted_distinct(doc * n_kinds + windows)  # each window of a document once, then each pair of it once
+        once = np.sort(doc * n_kinds + windows)  # each window of a document once, then each pair of it once
+        first = np.flatnonzero(np.append(True, once[1:] != once[:-1])) if len(once) else once
+        often, once = np.diff(np.append(first, len(once))), once[first]
         doc, local = once // n_kinds, once % n_kinds
         spread = _ranges((np.cumsum(size) - size)[local], size[local])
-        held_by = _sorted_distinct(np.repeat(doc, size[local]) * max(1, len(keys)) + place[spread])
-        docs = np.bincount(held_by % max(1, len(keys)), minlength=len(keys))
-        return pa.RecordBatch.from_arrays([
-            pa.array([number], pa.int64()), _listed(doc_ids), *(_listed(c, pa.int32()) for c in counts),
-            _listed(sums[0].astype(np.int32)), _listed(sums[1]), _listed(sha, pa.string()), _listed(n_windows, pa.int32()),
-            _listed(windows.astype(np.int32)), _listed(size.astype(np.int32)), _listed(place.astype(np.int32)), _listed(times.astype(np.int32)),
-            _listed(keys), _listed(docs.astype(np.int32))], names=names)
+        held_by = np.repeat(doc, size[local]) * max(1, len(keys)) + place[spread]
+        times = np.repeat(often, size[local]) * times[spread]
+        if len(held_by):
+            order, begin = _by_value(held_by, n * len(keys) - 1)
+            held_by, times = held_by[order[begin]], np.add.reduceat(times[order], np.flatnonzero(begin))
+        doc, local = held_by // max(1, len(keys)), held_by % max(1, len(keys))
+        at = np.searchsorted(doc, np.arange(n + 1))
+        total = np.append(0, np.cumsum(times))[at]
+        place = listed_pairs.add(keys, np.bincount(local, minlength=len(keys)))[local]
+        return pa.StructArray.from_arrays(
+            [doc_ids, *(pa.array(x, pa.int64()) for x in (*counts, n_groups, np.diff(total))), pa.array(sha, pa.string()), pa.array(np.diff(at), pa.int32()),
+             *(pa.array([_packed(x[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()) for x in (place, times))],
+            names=["doc_id", *COUNTS, "groups_sha256", "n_pairs", "places", "times"])
     return run
 
 
+def _sums(docs: pa.StructArray, best: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """Documents with their sums over links, by what each pair of their bundle has."""
+    n = docs.field("n_pairs").to_numpy().astype(np.int64)
+    places, times = (_unpacked(docs.field(c), n) for c in ("places", "times"))
+    at = np.append(0, np.cumsum(n))
+    sums = [np.diff(np.append(0, np.cumsum(times * value[places]))[at]) for value in (best, count)]
+    return pa.RecordBatch.from_arrays([docs.field("doc_id"), *(docs.field(c) for c in COUNTS), *map(pa.array, sums), docs.field("groups_sha256")],
+                                      names=["doc_id", *COUNTS, "n_best", "count_sum", "groups_sha256"])
+
+
 def _summed(batches):
-    """A bundle with the counts of its pairs -> its documents."""
+    """Bundles in turn, each with the values of its pairs in order and then its documents -> the documents with their sums."""
+    at, got = None, []
     for batch in batches:
-        names = batch.schema.names
-        for k in range(batch.num_rows):
-            row = {c: batch.column(i)[k].values for i, c in enumerate(names) if c != "bundle"}
-            number = {c: row[c].to_numpy() for c in ("n_windows", "windows", "n_pairs", "pairs", "times", "keys") if row[c] is not None}
-            wanted = row["wanted"]
-            got = {c: wanted.field(c).to_numpy(zero_copy_only=False) for c in ("key", "n", "best")} if wanted is not None else {}
-            count, best = np.zeros(len(number["keys"]), np.int64), np.zeros(len(number["keys"]), bool)
-            if got:
-                at = np.searchsorted(number["keys"], got["key"])
-                count[at], best[at] = got["n"], got["best"]
-            window = np.repeat(np.arange(len(number["n_pairs"])), number["n_pairs"])
-            times, pairs = number["times"].astype(np.int64), number["pairs"]
-            doc = np.repeat(np.arange(len(number["n_windows"])), number["n_windows"])
-            out = []
-            for value in (best.astype(np.int64), count):  # sums in doubles: exact below 2^53
-                each = np.bincount(window, times * value[pairs], len(number["n_pairs"]))
-                out.append(pa.array(np.bincount(doc, each[number["windows"]], len(number["n_windows"])).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [row["doc_id"], *(row[c].cast(pa.int64()) for c in COUNTS), *out, row["groups_sha256"]],
-                names=["doc_id", *COUNTS, "n_best", "count_sum", "groups_sha256"])
-
-
-def link_bundles(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, ranks_a: str | None = None, bundle_bytes: int = 1 << 22,
-                 memo_bytes: int = 96 << 20) -> DataFrame:
+        bundle = batch.column("bundle").to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, bundle[1:] != bundle[:-1])), len(bundle)) if len(bundle) else bundle
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if bundle[lo] != at:
+                at, got = bundle[lo], []
+            value, docs = (batch.column(c).slice(lo, hi - lo) for c in ("value", "doc"))
+            n = len(value) - value.null_count
+            if n:
+                got.append(value.slice(0, n).to_numpy().copy())
+            docs = docs.slice(n)
+            if len(docs):
+                got = [np.concatenate(got)] if got else [np.zeros(0, np.int64)]
+                off = np.append(0, np.cumsum(docs.field("n_pairs").to_numpy().astype(np.int64)))
+                for a, b in row_slices(off, 1 << 20):
+                    yield _sums(docs.slice(a, b - a), got[0] & 1, got[0] >> 1)
+
+
+def link_bundles(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, ranks_a: str | None = None, bundle_bytes: int = 1 << 23,
+                 memo_bytes: int = 96 << 20, slice_bytes: int = 1 << 21) -> DataFrame:
     """The documents' aligned bundles, written: see ``BUNDLE``. The vocabularies are paths on the workers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = BUNDLE.format(id=kind)
-    names = [part.split()[0] for part in ddl.split(", ")]
-    return written(docs.select("doc_id", "text").mapInArrow(_bundles(vocabulary_a, vocabulary_b, ranks_a, bundle_bytes, memo_bytes, names), ddl), "bundles")
+    run = _bundles(vocabulary_a, vocabulary_b, ranks_a, bundle_bytes, memo_bytes, slice_bytes)
+    return written(docs.select("doc_id", "text").mapInArrow(run, BUNDLE.format(id=kind)), "bundles")
 
 
 def pair_counts(bundles: DataFrame) -> DataFrame:
     """(key, a, b, n, best): in how many documents a pair of ids is linked, and whether that is the most of its ``A`` id; written."""
-    counts = (bundles.select(F.explode(F.arrays_zip("keys", "docs")).alias("p")).groupBy(F.col("p.keys").alias("key"))
+    counts = (bundles.where("keys is not null").select(F.explode(F.arrays_zip("keys", "docs")).alias("p")).groupBy(F.col("p.keys").alias("key"))
               .agg(F.sum(F.col("p.docs").cast("long")).alias("n"))
               .select("key", F.shiftright("key", 32).alias("a"), F.col("key").bitwiseAND((1 << 32) - 1).alias("b"), "n"))
     counts = written(counts, "counts")
@@ -324,11 +398,13 @@ def align_documents(docs: DataFrame, vocabulary_a: str, vocabulary_b: str, ranks
     """Per document its tokens, groups, links and their sums, and the table of all id pairs (``pair_counts``)."""
     bundles = link_bundles(docs, vocabulary_a, vocabulary_b, ranks_a, **sizes)
     pairs = pair_counts(bundles)
-    asked = bundles.select("bundle", F.explode("keys").alias("key"))
-    wanted = (asked.join(pairs.select("key", "n", "best"), "key").groupBy("bundle")
-              .agg(F.collect_list(F.struct("key", "n", "best")).alias("wanted")))
+    asked = bundles.where("keys is not null").select("bundle", "base", F.posexplode("keys").alias("k", "key"))
+    wanted = asked.join(pairs.select("key", "n", "best"), "key").select(
+        "bundle", (F.col("base") + F.col("k")).alias("place"), (F.col("n") * 2 + F.col("best").cast("long")).alias("value"))
+    rows = bundles.where("doc is not null").select("bundle", "doc")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = (bundles.drop("docs").join(wanted, "bundle", "left")
+    out = (wanted.unionByName(rows, allowMissingColumns=True).repartition("bundle")
+           .sortWithinPartitions("bundle", F.col("place").asc_nulls_last())
            .mapInArrow(_summed, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
                        "groups_sha256 string"))
     return out, pairs

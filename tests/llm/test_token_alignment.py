@@ -106,3 +106,46 @@ def test_pairs_and_spelling_by_whole_columns():
     got = known.spelt(0, np.array([0, 1, 2, 0, 2, 1], np.uint32), np.array([3, 0, 2, 1]), [b" abc", b"", b" b", b"a"])
     assert got.tolist() == [True, True, False, True]
     assert known.spelt(1, np.zeros(0, np.uint32), np.zeros(1, np.int64), [b"x"]).tolist() == [False]
+
+
+def test_rows_do_not_grow_with_a_bundle(spark, libraries):
+    """A bundle's documents and pairs are many small rows, in the order of its slices; all rows see the counts of the whole corpus."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from mercato.llm.token_alignment import link_bundles
+    r = random.Random(5)
+    words = ["".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(3000)]
+    more = {k: " ".join(r.choices(words, k=500)) for k in range(400)}  # over 1 MB, a bundle
+    docs = documents(spark, more).coalesce(1)
+    rows = link_bundles(docs, *PATHS)
+    assert rows.select("bundle").distinct().count() == 1
+    assert rows.select(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 400_000
+    some = documents(spark, {k: more[k] for k in range(40)} | {40: None, 41: "", 42: "x" * 5000}).coalesce(1)
+    out, pairs = align_documents(some, *PATHS, slice_bytes=1 << 13, bundle_bytes=1 << 15)  # slices of two documents, four in a bundle
+    assert got(out) == plain([(d["doc_id"], d["text"]) for d in some.collect()], libraries)
+    assert pairs.count() == pairs.select("key").distinct().count()
+
+
+def test_pairs_of_slices_share_a_list():
+    import numpy as np
+    import pyarrow as pa
+
+    from mercato.llm.token_alignment import PairList, _by_value, _packed, _unpacked
+    r = np.random.default_rng(7)
+    pairs, seen = PairList(), Counter()
+    for _ in range(20):
+        keys, docs = np.unique(r.integers(0, 500, 60)), 1 + r.integers(0, 9)
+        place = pairs.add(keys, np.full(len(keys), docs))
+        seen.update({k: docs for k in keys.tolist()})
+        assert (pairs.keys()[place] == keys).all()
+    assert dict(zip(pairs.keys().tolist(), pairs.docs.tolist())) == seen
+    assert len(pairs.add(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+    lists = [[1, 255], [], [256, 65535], [1 << 33, 0, 7], [3], [1 << 20]]
+    got = _unpacked(pa.array([_packed(np.array(x, np.int64)) for x in lists], pa.binary()), np.array([len(x) for x in lists]))
+    assert got.tolist() == [v for x in lists for v in x]
+    for most in (1 << 20, (1 << 62) - 1):  # places fit beside the values, and do not
+        x = r.integers(0, most, 300)[r.integers(0, 90, 900)]
+        order, begin = _by_value(x, most)
+        assert (x[order] == np.sort(x)).all() and (np.sort(x)[begin] == np.unique(x)).all()
